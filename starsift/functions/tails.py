@@ -11,6 +11,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _TINY = 1e-300
 _MAX_TERMS = 10_000
@@ -116,17 +117,17 @@ def _chi_square_upper(x: float, dof: float) -> float:
 chi_square_upper = np.vectorize(_chi_square_upper, otypes=[float])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_upper_p(z: pd.Series) -> pd.Series:
     return pd.Series(normal_upper(z.to_numpy(dtype=float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_two_sided_p(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(t_two_sided(t.to_numpy(dtype=float), dof.to_numpy(dtype=float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_p(x: pd.Series, dof: pd.Series) -> pd.Series:
     if not len(x):
         return pd.Series([], dtype=float)

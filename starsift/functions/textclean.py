@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Code point ranges of white space, so that every step and every
 # regex dialect treats the same characters as space.
@@ -43,7 +44,7 @@ MIN_SENTENCE = 5
 MIN_MODEL_TEXT = 1
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_entities(text: pd.Series) -> pd.Series:
     """Character references to characters; the full list needs a parser, not a pattern."""
     return text.map(html.unescape, na_action="ignore")

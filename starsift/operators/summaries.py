@@ -12,8 +12,6 @@ from starsift.functions.rounding import round_even
 from starsift.operators.clean import flag_columns
 from starsift.operators.running import exact_quantiles, present, running_counts
 
-N = F.count(F.lit(1))
-
 
 def labels_table(spark: SparkSession, column: str, labels: Sequence[str]) -> DataFrame:
     """A fixed list of labels with its order in `position`."""

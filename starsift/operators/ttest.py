@@ -86,6 +86,10 @@ def product_t_tests(
     )
 
 
+def smallest_p(results: DataFrame, n: int = 10) -> DataFrame:
+    return results.where("p_value IS NOT NULL").orderBy("p_value", "parent_asin").limit(n)
+
+
 def verdict_summary(results: DataFrame) -> DataFrame:
     """Totals, percentages, mean gap and exact medians over the per-product results."""
     medians = exact_quantiles(results, "t_stat", {"m": 0.5}).select("m").scalar()

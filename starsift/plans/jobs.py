@@ -33,6 +33,8 @@ class Preparation:
     brand_pattern: str = P.BRAND_PATTERN
     brand_aliases: Mapping[str, str] | None = None
     contrast_pattern: str = P.CONTRAST_PATTERN
+    negators: Sequence[str] = text.NEGATORS
+    boosters: Sequence[str] = text.BOOSTERS
 
 
 def prepare_columns(
@@ -70,7 +72,9 @@ def prepared_reviews(
     spoken = base.join(text.detect_language(base, profiles, key, "review_text"), list(key))
     if translations is not None:
         spoken = text.apply_translations(spoken, translations)
-    scores = text.lexicon_sentiment(spoken, lexicon, key, "review_text")
+    scores = text.lexicon_sentiment(
+        spoken, lexicon, key, "review_text", negators=how.negators, boosters=how.boosters
+    )
     return spoken.join(scores, list(key)).transform(
         clean.with_tradeoff_flag, "review_text", how.contrast_pattern
     )
