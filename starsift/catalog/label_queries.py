@@ -165,7 +165,8 @@ BITS = """(SELECT string_agg(CASE WHEN list_contains(src.aspects, v.aspect) THEN
 def _(t: Tables):
     parts = _split(t)
     vocabulary = L.vocabulary_array(parts.where(F.col("split") == "train"))
-    return parts.select("row_id", "split", as_bits(L.multi_hot(F.col("aspects_parsed"), vocabulary)).alias("labels"))
+    hot = L.with_multi_hot(parts, vocabulary)
+    return hot.select("row_id", "split", as_bits(F.col("aspect_labels")).alias("labels"))
 
 
 @query(
@@ -291,9 +292,7 @@ def _(t: Tables):
 def _(t: Tables):
     train = _train(t)
     vocabulary = L.vocabulary_array(train)
-    frame = train.withColumns(
-        {"aspect_labels": L.multi_hot(F.col("aspects_parsed"), vocabulary), "has_aspect_label": F.lit(True)}
-    )
+    frame = L.with_multi_hot(train, vocabulary).withColumn("has_aspect_label", F.lit(True))
     return rounded(L.positive_weights(frame), "pos_weight")
 
 

@@ -12,6 +12,7 @@ from starsift.operators import labels as L
 from starsift.operators import metrics as E
 from starsift.operators import models as M
 from starsift.operators.splits import stratified_split
+from starsift.session import cut_lineage
 
 
 # --- M8-M13 -------------------------------------------------------------------------
@@ -350,7 +351,7 @@ def _aspect_frames(t: Tables):
     sentences = L.with_pairs(t.sentences)
     technical = L.technical_rows(sentences)
     vocabulary = L.vocabulary_array(technical)
-    return L.with_aspect_labels(sentences, technical, vocabulary), technical
+    return cut_lineage(L.with_aspect_labels(sentences, technical, vocabulary)), technical
 
 
 def _trained(t: Tables):

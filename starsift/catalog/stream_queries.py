@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
@@ -25,14 +24,20 @@ KINDS = {"view": r"\bview\b", "error": r"\berror\b", "purchase": r"\bpurchase\b"
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
-    path = f"{t.sf_dir}/{name}.parquet"
+    # a pattern, so that the table may be one file or a folder
+    path = f"{t.sf_dir}/{name}.parque[t]"
     return t.spark.readStream.schema(t.read(name).schema).parquet(path)
 
 
+def _events(t: Tables) -> DataFrame:
+    """Events with their zone-less times taken as UTC, whatever the session's zone."""
+    at = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    return _stream(t, "events").withColumn("ts", at)
+
+
 def _run(t: Tables, stream: DataFrame) -> DataFrame:
     """Write what the stream gives, then read it; folders lie in the cluster's shared folder."""
-    root = shared_folder(t.spark) or tempfile.mkdtemp(prefix="starsift-")
-    base = f"{root}/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
     S.run_available(stream, f"{base}/out", f"{base}/state").awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(f"{base}/out")
 
@@ -48,7 +53,7 @@ def _(t: Tables):
     "SELECT DISTINCT user_id, event_type FROM events",
 )
 def _(t: Tables):
-    arrived = S.first_arrivals(_stream(t, "events"), ["user_id", "event_type"], "ts", "40 days")
+    arrived = S.first_arrivals(_events(t), ["user_id", "event_type"], "ts", "40 days")
     return _run(t, arrived.select("user_id", "event_type"))
 
 
@@ -62,8 +67,6 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    # event times carry no zone; they are read as UTC for the windows
-    events = _stream(t, "events").withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
-    out = S.keyword_windows(events, "ts", "event_type", KINDS)
-    day = F.date_format(F.from_utc_timestamp("window_start", F.current_timezone()), "yyyy-MM-dd")
+    out = S.keyword_windows(_events(t), "ts", "event_type", KINDS)
+    day = F.date_format(F.to_utc_timestamp("window_start", F.current_timezone()), "yyyy-MM-dd")
     return rounded(_run(t, out).select(day.alias("day"), "keyword", "n", "pct"), "pct")

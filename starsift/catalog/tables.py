@@ -16,6 +16,7 @@ from starsift.catalog import sql as Q
 from starsift.operators import clean
 from starsift.operators.text import lexicon_sentiment
 from starsift.plans.jobs import Preparation, prepare_columns
+from starsift.session import cut_lineage
 from starsift.sources.readers import with_row_id
 
 REVIEW_ID = ["order_key", "line_no"]
@@ -319,7 +320,8 @@ class Tables:
 
     @cached_property
     def sentences(self) -> DataFrame:
-        return with_row_id(self.order_sentences)
+        """Labelled sentences with their ids, stored once."""
+        return cut_lineage(with_row_id(self.order_sentences))
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starsift.functions import patterns as P
-from starsift.operators.running import quantile_scalars
+from starsift.operators.running import with_quantiles
 
 
 def from_epoch_ms(ms: Column) -> Column:
@@ -57,17 +57,16 @@ def with_price_tier(
 ) -> DataFrame:
     """Tier by the quantiles of the known prices; no price or a zero price is `Unknown`."""
     q50, q75, q975 = quantiles
-    cut = quantile_scalars(df, price, quantiles)
-    p = F.col(price)
+    p, cut = F.col(price), F.col("_q")
     low, medium, high, premium = P.TIERS
     tier = (
         F.when(p.isNull() | F.isnan(p) | (p == 0), P.NO_TIER)
-        .when(p >= cut.getField(q975), premium)
-        .when(p > cut.getField(q75), high)
-        .when(p > cut.getField(q50), medium)
+        .when(p >= cut[q975], premium)
+        .when(p > cut[q75], high)
+        .when(p > cut[q50], medium)
         .otherwise(low)
     )
-    return df.withColumn("price_tier", tier)
+    return with_quantiles(df, price, quantiles).withColumn("price_tier", tier).drop("_q")
 
 
 def with_period(
@@ -211,12 +210,14 @@ def with_price_bin(
     it get no bin.
     """
     priced = df.where(F.col(price) > 0)
-    limit = F.least(
-        quantile_scalars(priced, price, {"top": quantile}).getField("top"), F.lit(float(ceiling))
-    )
+    limit = F.least(F.col("_q")["top"], F.lit(float(ceiling)))
     last_edge = F.floor((F.floor(limit) + F.lit(width - 1)) / F.lit(width)) * width
     mid = F.ceil(F.col(price) / width) * width - width / 2
-    return priced.withColumn("price_mid", F.when(F.col(price) <= last_edge, mid))
+    return (
+        with_quantiles(priced, price, {"top": quantile})
+        .withColumn("price_mid", F.when(F.col(price) <= last_edge, mid))
+        .drop("_q")
+    )
 
 
 def cut_label(value: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
@@ -236,12 +237,12 @@ def with_quantile_bin(
     """
     k = len(labels)
     names = [f"e{i}" for i in range(k + 1)]
-    edges = quantile_scalars(df, value, {n: i / k for i, n in enumerate(names)})
-    v = F.col(value).cast("double")
+    v, edges = F.col(value).cast("double"), F.col("_q")
     clash = F.lit(False)
     for a, b in zip(names, names[1:]):
-        clash = clash | (edges.getField(a) == edges.getField(b))
+        clash = clash | (edges[a] == edges[b])
     label = F.when(clash, F.raise_error(F.lit(f"{value}: bin edges are not unique")).cast("string"))
     for name, upper in zip(labels, names[1:]):
-        label = label.when(v <= edges.getField(upper), name)
-    return df.withColumn(column, label)
+        label = label.when(v <= edges[upper], name)
+    binned = with_quantiles(df, value, {n: i / k for i, n in enumerate(names)})
+    return binned.withColumn(column, label).drop("_q")

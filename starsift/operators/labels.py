@@ -93,9 +93,14 @@ def with_rarest_combo(df: DataFrame) -> DataFrame:
         .scalar()
     )
     ranked = F.transform(
-        "combo_labels", lambda c: F.struct(F.element_at(counts, c).alias("n"), c.alias("combo"))
+        "combo_labels",
+        lambda c: F.struct(F.element_at(F.col("_counts"), c).alias("n"), c.alias("combo")),
+    )
+    return (
+        labelled.withColumn("_counts", counts)
+        .withColumn("rarest_combo", F.array_min(ranked)["combo"])
+        .drop("_counts")
     )
-    return labelled.withColumn("rarest_combo", F.array_min(ranked)["combo"])
 
 
 def split_technical(
@@ -133,20 +138,24 @@ def vocabulary_array(train: DataFrame, aspects: str = "aspects_parsed") -> Colum
     )
 
 
-def multi_hot(labels: Column, vocabulary: Column) -> Column:
+def with_multi_hot(
+    df: DataFrame, vocabulary: Column, column: str = "aspect_labels", labels: str = "aspects_parsed"
+) -> DataFrame:
     """1.0 per vocabulary entry the row names; names outside the vocabulary are ignored."""
-    return F.transform(
-        vocabulary, lambda c: F.coalesce(F.array_contains(labels, c), F.lit(False)).cast("float")
+    hot = F.transform(
+        "_vocabulary",
+        lambda c: F.coalesce(F.array_contains(F.col(labels), c), F.lit(False)).cast("float"),
     )
+    return df.withColumn("_vocabulary", vocabulary).withColumn(column, hot).drop("_vocabulary")
 
 
 def missing_vector(vocabulary: Column) -> Column:
-    return F.transform(vocabulary, lambda c: F.lit(MISSING_LABEL).cast("float"))
+    return F.array_repeat(F.lit(MISSING_LABEL).cast("float"), F.size(vocabulary))
 
 
 def with_aspect_labels(df: DataFrame, reference: DataFrame, vocabulary: Column, key: str = "row_id") -> DataFrame:
     """Label vectors looked up by row id; rows without one get -1.0 vectors and a false flag."""
-    looked = reference.select(key, multi_hot(F.col("aspects_parsed"), vocabulary).alias("_labels"))
+    looked = with_multi_hot(reference, vocabulary, "_labels").select(key, "_labels")
     return (
         df.join(looked, key, "left")
         .withColumn("has_aspect_label", F.col("_labels").isNotNull())
@@ -215,11 +224,10 @@ def oversample_rare(
     New text comes from a (row_id, copy, new_text, new_language) table where it
     has an acceptable entry, else the text is repeated.
     """
-    labelled = train.withColumns(
+    labelled = with_multi_hot(train, vocabulary).withColumns(
         {
             "is_related": F.lit(1),
             "is_technical": F.lit(1),
-            "aspect_labels": multi_hot(F.col("aspects_parsed"), vocabulary),
             "has_aspect_label": F.lit(True),
         }
     )

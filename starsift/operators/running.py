@@ -151,9 +151,19 @@ def exact_quantiles(
     )
 
 
-def quantile_scalars(df: DataFrame, value: str, quantiles: Mapping[str, float]) -> Column:
-    """The quantiles of a whole column as one struct value, evaluated once per query."""
-    return exact_quantiles(df, value, quantiles).select(F.struct(*quantiles)).scalar()
+def with_quantiles(
+    df: DataFrame,
+    value: str,
+    quantiles: Mapping[str, float],
+    column: str = "_q",
+    source: DataFrame | None = None,
+) -> DataFrame:
+    """Add the quantiles of a whole column as one struct, evaluated once per query.
+
+    It is a column of its own, so any number of uses share one subquery.
+    """
+    row = exact_quantiles(df if source is None else source, value, quantiles)
+    return df.withColumn(column, row.select(F.struct(*quantiles)).scalar())
 
 
 def order_hash(key: Sequence[str], seed: int) -> Column:

@@ -72,15 +72,16 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and the largest value; the largest is in the last."""
     rows = present(df, value).select(F.col(value).cast("double").alias("_v"))
     span = rows.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
-    lo, hi = span.getField("lo"), span.getField("hi")
+    lo, hi = F.col("_span.lo"), F.col("_span.hi")
     width = (hi - lo) / bins
     bin_no = F.when(hi == lo, 0).otherwise(
         F.least(F.floor((F.col("_v") - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
     )
     return (
-        rows.groupBy(bin_no.cast("int").alias("bin"))
+        rows.withColumn("_span", span)
+        .groupBy(bin_no.cast("int").alias("bin"), lo.alias("_lo"), width.alias("_width"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("bin", (lo + F.col("bin") * width).alias("left_edge"), "n")
+        .select("bin", (F.col("_lo") + F.col("bin") * F.col("_width")).alias("left_edge"), "n")
     )
 
 
@@ -148,15 +149,14 @@ def local_smoother(
     span = folded.agg(
         F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("n"))
     ).scalar()
-    step = (span.getField("hi") - span.getField("lo")) / (grid_size - 1)
-    grid = F.transform(
-        F.sequence(F.lit(0), F.lit(grid_size - 1)),
-        lambda i: F.struct(i.alias("i"), (span.getField("lo") + i * step).alias("g")),
-    )
-    spread = folded.select("x", "n", "sy", F.explode(grid).alias("p")).select(
-        "x", "n", "sy", "p.i", "p.g", F.abs(F.col("x") - F.col("p.g")).alias("d")
-    )
-    wanted = F.floor(span.getField("n") * F.lit(share) + F.lit(1e-10))
+    step = (F.col("_span.hi") - F.col("_span.lo")) / (grid_size - 1)
+    spread = (
+        folded.withColumn("_span", span)
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("i"))
+        .withColumn("g", F.col("_span.lo") + F.col("i") * step)
+        .withColumn("d", F.abs(F.col("x") - F.col("g")))
+    )
+    wanted = F.floor(F.col("_span.n") * F.lit(share) + F.lit(1e-10))
     nearest = Window.partitionBy("i").orderBy("d")
     reach = (
         spread.withColumn(

@@ -12,6 +12,7 @@ from starsift.functions import patterns as P
 from starsift.functions.textclean import clean_text
 from starsift.operators import clean, dedupe, labels, text
 from starsift.operators.splits import SEED, sample_rows
+from starsift.session import cut_lineage
 from starsift.sources.readers import labelled_sentences
 
 DOMAIN_SAMPLE = 300_000
@@ -131,6 +132,15 @@ def split_sentences(
     return divided, others
 
 
+def stored_split(
+    sentences: DataFrame, excluded: Sequence[str] = P.EXCLUDED_ASPECTS, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """Ids, pairs and splits, stored once: every frame and class list is made from them."""
+    parsed = cut_lineage(labels.with_pairs(labelled_sentences(sentences), excluded))
+    technical, others = split_sentences(parsed, seed=seed)
+    return cut_lineage(technical), cut_lineage(others)
+
+
 def training_frames(
     sentences: DataFrame,
     excluded: Sequence[str] = P.EXCLUDED_ASPECTS,
@@ -140,8 +150,7 @@ def training_frames(
     seed: int = SEED,
 ) -> TrainingFrames:
     """Ids, pairs, splits, vocabulary, oversampled training frame and labelled val/test frames."""
-    parsed = labels.with_pairs(labelled_sentences(sentences), excluded)
-    technical, others = split_sentences(parsed, seed=seed)
+    technical, others = stored_split(sentences, excluded, seed)
 
     def part(df: DataFrame, name: str) -> DataFrame:
         return df.where(F.col("split") == name)

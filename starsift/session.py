@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -28,14 +30,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, as named by the cluster; None where unset."""
-    return spark.conf.get(CHECKPOINT_SETTING, None)
-
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the cluster names it.
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Point checkpoints at the cluster's shared folder, or at `fallback` where it names none."""
-    folder = shared_folder(spark) or fallback
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    Only a local session may go without the setting; it gets a folder of its own.
+    """
+    context = spark.sparkContext
+    named = context.getConf().get(CHECKPOINT_SETTING) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_SETTING} must name a shared folder on a cluster")
+    folder = tempfile.mkdtemp(prefix="starsift-")
+    context.setCheckpointDir(folder)
     return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows as stored in the shared folder; later steps start from there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
