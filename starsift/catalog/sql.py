@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starsift.functions.textclean import ABBREVIATIONS, CLEAN_STEPS, SPACE
+from starsift.functions.textclean import ABBREVIATIONS, SPACE
 
 
 def rnd(expression: str, places: int = 6) -> str:
@@ -62,12 +62,32 @@ def replace_all(expression: str, pattern: str, replacement: str) -> str:
     return f"regexp_replace({expression}, {quoted(pattern)}, {quoted(back)}, 'g')"
 
 
+NOT_SPACE = "[^" + SPACE[1:]
+# The steps in their long form, on any white space.
+LONG_STEPS = (
+    (r"(?i)\[\[[a-z0-9_]+:[^\]]+\]\]", " "),
+    (rf"(?i)<br{SPACE}*/?>", ". "),
+    (r"\n+", ". "),
+    (r"<[^3>][^>]*>", " "),
+    (rf"http{NOT_SPACE}+|www\.{NOT_SPACE}+", " "),
+    (rf"#+{SPACE}*([^\n]*?){SPACE}*#+", ". $1. "),
+    (rf"{SPACE}+-{SPACE}+", ". "),
+    (rf"{SPACE}+\*{SPACE}+", ". "),
+    (r"([a-z])([.!?])([A-Z])", "$1$2 $3"),
+    (rf"{SPACE}+", " "),
+    (r"^ | $", ""),
+    (rf"{SPACE}+\.", "."),
+    (r"\.{2,}", "."),
+    (rf"\.{SPACE}*\.", "."),
+)
+
+
 def clean(expression: str) -> str:
     """Normalised text; the entities are those the pages use."""
     out = f"coalesce({expression}, '')"
     for name, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         out = f"replace({out}, '{name}', '{char}')"
-    for pattern, replacement in CLEAN_STEPS:
+    for pattern, replacement in LONG_STEPS:
         out = replace_all(out, pattern, replacement)
     return out
 

@@ -200,6 +200,15 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def texts(self, name: str) -> DataFrame:
+        """A table of long texts, spread over the cores where its files give too few tasks.
+
+        A large table has more splits than cores and is left as it is.
+        """
+        df = self.read(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     @cached_property
     def products(self) -> DataFrame:
         size = F.col("p_size")
@@ -274,7 +283,7 @@ class Tables:
     @cached_property
     def doc_sentiment(self) -> DataFrame:
         return lexicon_sentiment(
-            self.read("documents"), self.lexicon, ["doc_id"], "text",
+            self.texts("documents"), self.lexicon, ["doc_id"], "text",
             negators=NEGATORS, boosters=BOOSTERS,
         )
 
@@ -285,7 +294,7 @@ class Tables:
     @cached_property
     def with_flags(self) -> DataFrame:
         """Prepared reviews with keyword flags; a text shared by reviews is matched once."""
-        flags = clean.with_keyword_flags(self.read("documents"), KEYWORDS, "text")
+        flags = clean.with_keyword_flags(self.texts("documents"), KEYWORDS, "text")
         names = list(clean.flag_columns(KEYWORDS).values())
         return self.prepared.join(flags.select("doc_id", *names), "doc_id")
 

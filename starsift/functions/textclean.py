@@ -15,26 +15,24 @@ SPACE_RANGES = (
     (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
     (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
 )
-SPACES = "".join(f"\\x{{{first:x}}}-\\x{{{last:x}}}" for first, last in SPACE_RANGES)
-SPACE = f"[{SPACES}]"
-NOT_SPACE = f"[^{SPACES}]"
+SPACE = "[" + "".join(f"\\x{{{first:x}}}-\\x{{{last:x}}}" for first, last in SPACE_RANGES) + "]"
+SPACE_CHARACTERS = "".join(
+    chr(c) for first, last in SPACE_RANGES for c in range(first, last + 1) if c not in (0x0A, 0x20)
+)
 
-# Ordered replacements of the normalisation ($n is a group).
+# Ordered replacements of the normalisation ($n is a group). White
+# space has become plain spaces and line breaks before the first step.
 CLEAN_STEPS = (
     (r"(?i)\[\[[a-z0-9_]+:[^\]]+\]\]", " "),
-    (rf"(?i)<br{SPACE}*/?>", ". "),
+    (r"(?i)<br[ \n]*/?>", ". "),
     (r"\n+", ". "),
     (r"<[^3>][^>]*>", " "),
-    (rf"http{NOT_SPACE}+|www\.{NOT_SPACE}+", " "),
-    (rf"#+{SPACE}*([^\n]*?){SPACE}*#+", ". $1. "),
-    (rf"{SPACE}+-{SPACE}+", ". "),
-    (rf"{SPACE}+\*{SPACE}+", ". "),
+    (r"http[^ ]+|www\.[^ ]+", " "),
+    (r"#+ *(.*?) *#+", ". $1. "),
+    (r" +- +", ". "),
+    (r" +\* +", ". "),
     (r"([a-z])([.!?])([A-Z])", "$1$2 $3"),
-    (rf"{SPACE}+", " "),
-    (r"^ | $", ""),
-    (rf"{SPACE}+\.", "."),
-    (r"\.{2,}", "."),
-    (rf"\.{SPACE}*\.", "."),
+    (r" {2,}", " "),
 )
 
 # Abbreviations after which a full stop does not end a sentence.
@@ -50,37 +48,39 @@ def unescape_entities(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
-def clean_text(text: Column) -> Column:
-    """Entities, tags, links, headings, bullets and spacing made plain; no text gives ''."""
-    out = F.coalesce(unescape_entities(text), F.lit(""))
-    for pattern, replacement in CLEAN_STEPS:
-        out = F.regexp_replace(out, pattern, replacement)
-    return out
+def plain_spaces(text: Column) -> Column:
+    """Every white-space character except the line break as a space."""
+    return F.translate(text, SPACE_CHARACTERS, " " * len(SPACE_CHARACTERS))
 
 
-def clean_again(text: Column) -> Column:
-    """The pattern steps alone, for text whose entities are already characters."""
-    out = F.coalesce(text, F.lit(""))
+def clean_text(text: Column) -> Column:
+    """Entities, tags, links, headings, bullets and spacing made plain; no text gives ''."""
+    out = plain_spaces(F.coalesce(unescape_entities(text), F.lit("")))
     for pattern, replacement in CLEAN_STEPS:
         out = F.regexp_replace(out, pattern, replacement)
-    return out
+    # single spaces are left, so the space before a full stop is one character;
+    # after this no two full stops have a space between them
+    out = F.replace(F.trim(out), F.lit(" ."), F.lit("."))
+    return F.regexp_replace(out, r"\.{2,}", ".")
 
 
 def strip_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space at either end."""
+    ends = SPACE_CHARACTERS + " \n"
+    return F.btrim(text, F.lit(ends))
 
 
 def model_text(text: Column) -> Column:
-    """Cleaned text in lower case."""
-    return strip_spaces(F.regexp_replace(F.lower(clean_text(text)), f"{SPACE}+", " "))
+    """Cleaned text in lower case (cleaning leaves single spaces and none at the ends)."""
+    return F.lower(clean_text(text))
 
 
 def sentences(text: Column) -> Column:
-    """Array of sentences: a break after . ! ? and space, but not after an abbreviation."""
-    marked = F.regexp_replace(text, f"([.!?]){SPACE}+", f"$1{SENTENCE_MARK}")
+    """Sentences of a cleaned text: a break after . ! ? and space, but not after an abbreviation."""
+    marked = F.regexp_replace(text, "([.!?]) +", f"$1{SENTENCE_MARK}")
     short = "|".join(ABBREVIATIONS)
     joined = F.regexp_replace(
-        marked, rf"(^|[^\p{{L}}\p{{N}}])({short}|[A-Z])\.{SENTENCE_MARK}", "$1$2. "
+        marked, rf"(?<![\p{{L}}\p{{N}}])({short}|[A-Z])\.{SENTENCE_MARK}", "$1. "
     )
     return F.filter(F.split(joined, SENTENCE_MARK), lambda s: s != "")
 

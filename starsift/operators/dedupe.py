@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 32
 REVIEW_KEY = ("parent_asin", "review_title", "review_text")
 
 
@@ -55,14 +57,26 @@ def drop_listed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_anti")
 
 
+def broadcast_if_small(df: DataFrame, text: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The table marked for broadcast when its measured text is small, else as it is."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(text) + F.lit(ROW_BYTES)), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= max_bytes else df
+
+
 def drop_same_text(df: DataFrame, other: DataFrame, text: str, other_text: str) -> DataFrame:
-    """Rows whose text equals no text of the other table; compared by digest, then in full."""
+    """Rows whose text equals no text of the other table; compared by digest, then in full.
+
+    The other table is measured first. A small one goes to every task, so the
+    texts stay where they are; a large one is joined on the digest, where
+    adaptive execution splits a digest that very many rows share.
+    """
     left = df.withColumn("_d", F.xxhash64(text))
-    right = (
+    right = broadcast_if_small(
         other.where(F.col(other_text).isNotNull())
         .select(F.col(other_text).alias("_other"))
         .distinct()
-        .withColumn("_d", F.xxhash64("_other"))
+        .withColumn("_d", F.xxhash64("_other")),
+        "_other",
     )
     same = (left["_d"] == right["_d"]) & (left[text] == right["_other"])
     return left.join(right, same, "left_anti").drop("_d")

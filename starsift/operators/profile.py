@@ -83,19 +83,37 @@ def null_safe_corr(a: Column, b: Column) -> Column:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, 2 decimals, one aggregate."""
+    """Pearson correlation of every pair of numeric columns, 2 decimals, in one pass.
+
+    A row gives one (pair, x, y) entry per pair of known values; the entries are
+    summed inside each task, so a task sends one row per pair.
+    """
     names = list(columns or numeric_columns(df))
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
-    one = df.agg(
-        *[null_safe_corr(F.col(names[i]), F.col(names[j])).alias(f"r_{i}_{j}") for i, j in pairs]
-    )
-    cells = [
+    pairs = list(combinations_with_replacement(names, 2))
+    entries = [
         F.struct(
-            F.lit(names[i]).alias("column_a"),
-            F.lit(names[j]).alias("column_b"),
-            round_even(F.col(f"r_{min(i, j)}_{max(i, j)}"), 2).alias("r"),
+            F.lit(i).alias("pair"),
+            F.col(a).cast("double").alias("x"),
+            F.col(b).cast("double").alias("y"),
+        )
+        for i, (a, b) in enumerate(pairs)
+    ]
+    sums = (
+        df.select(F.inline(F.array(*entries)))
+        .where("x IS NOT NULL AND y IS NOT NULL")
+        .groupBy("pair")
+        .agg(
+            F.try_divide(
+                F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")
+            ).alias("r")
         )
-        for i in range(len(names))
-        for j in range(len(names))
+    )
+    cells = [
+        F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.lit(i).alias("pair"))
+        for i, (a, b) in enumerate(pairs)
+        for x, y in dict.fromkeys(((a, b), (b, a)))
     ]
-    return one.select(F.inline(F.array(*cells)))
+    grid = df.sparkSession.range(1).select(F.inline(F.array(*cells)))
+    return grid.join(sums, "pair", "left").select(
+        "column_a", "column_b", round_even(F.col("r"), 2).alias("r")
+    )

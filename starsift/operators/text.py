@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starsift.functions.textclean import (
     MIN_MODEL_TEXT,
@@ -91,35 +94,58 @@ def language_profiles(
     )
 
 
-def detect_language(
-    df: DataFrame, profiles: DataFrame, key: Sequence[str], text: str, column: str = "language"
-) -> DataFrame:
-    """(key, language): the profile with the largest sum of weights over the whole text.
+def _gram_codes(text: str) -> np.ndarray:
+    """Three neighbouring code points packed into one integer, for every place in the text."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    shift = np.uint64(21)
+    return (points[:-2] << (shift + shift)) | (points[1:-1] << shift) | points[2:]
+
+
+@dataclass(frozen=True)
+class LanguageModel:
+    """Profiles in array form: at most PROFILE_SIZE pieces per language."""
+
+    languages: list[str]
+    codes: np.ndarray
+    weights: np.ndarray
+
+    @staticmethod
+    def from_profiles(profiles: DataFrame) -> LanguageModel:
+        rows = [(r["profile_lang"], r["gram"], r["weight"]) for r in profiles.toLocalIterator()]
+        languages = sorted({lang for lang, _, _ in rows})
+        codes = np.array(sorted({_gram_codes(g)[0] for _, g, _ in rows}), dtype=np.uint64)
+        weights = np.zeros((len(codes) + 1, len(languages)))
+        for lang, gram, weight in rows:
+            weights[np.searchsorted(codes, _gram_codes(gram)[0]), languages.index(lang)] = weight
+        return LanguageModel(languages, codes, weights)
+
+    def best(self, text: str) -> str:
+        """The language with the largest sum of weights over the whole text."""
+        if not text or len(text) < 3 or not len(self.codes):
+            return UNKNOWN_LANGUAGE
+        grams = _gram_codes(text)
+        at = np.searchsorted(self.codes, grams)
+        known = (at < len(self.codes)) & (self.codes[np.minimum(at, len(self.codes) - 1)] == grams)
+        counts = np.bincount(at[known], minlength=len(self.codes) + 1)
+        scores = np.round(counts @ self.weights, 6)
+        if not scores.any():
+            return UNKNOWN_LANGUAGE
+        return max(zip(scores, self.languages))[1]
+
+
+def language_of(text: Column, model: LanguageModel) -> Column:
+    """Language of each text, scored in place: texts are neither cut into rows nor moved.
 
     `unknown` for texts under three characters, without a Latin letter, or
-    sharing no piece with any profile. Pieces are summed inside each task, so
-    the shuffle carries one row per text and language. The profile table has a
-    fixed number of rows per language and is broadcast.
+    sharing no piece with any profile.
     """
-    usable = df.where(
-        (F.length(strip_spaces(F.col(text))) >= 3) & F.col(text).rlike("[a-zA-Z]")
-    )
-    scores = (
-        _grams(usable, key, text)
-        .join(F.broadcast(profiles), "gram")
-        .groupBy(*key, "profile_lang")
-        .agg(F.sum("weight").alias("score"))
-        .groupBy(*key)
-        .agg(F.max_by("profile_lang", F.struct(F.round("score", 6), F.col("profile_lang"))).alias(column))
-    )
-    return df.select(*key).join(scores, list(key), "left").withColumn(
-        column, F.coalesce(column, F.lit(UNKNOWN_LANGUAGE))
-    )
 
+    @F.pandas_udf(T.StringType())
+    def score(texts: pd.Series) -> pd.Series:
+        return texts.map(model.best, na_action="ignore")
 
-def keep_language(df: DataFrame, detected: DataFrame, key: Sequence[str], lang: str = "en") -> DataFrame:
-    ids = detected.where(F.col("language") == lang).select(*key)
-    return df.join(ids, list(key), "left_semi")
+    usable = (F.length(strip_spaces(text)) >= 3) & text.rlike("[a-zA-Z]")
+    return F.coalesce(score(F.when(usable, F.lower(text))), F.lit(UNKNOWN_LANGUAGE))
 
 
 # --- translation and rewriting --------------------------------------------------

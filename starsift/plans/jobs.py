@@ -61,7 +61,7 @@ def prepare_columns(
 def prepared_reviews(
     df: DataFrame,
     key: Sequence[str],
-    profiles: DataFrame,
+    model: text.LanguageModel,
     lexicon: DataFrame,
     how: Preparation = Preparation(),
     overrides: DataFrame | None = None,
@@ -70,7 +70,7 @@ def prepared_reviews(
 ) -> DataFrame:
     """The prepared table: columns, language, translated text, sentiment and trade-off flag."""
     base = prepare_columns(df, how, overrides, denied)
-    spoken = base.join(text.detect_language(base, profiles, key, "review_text"), list(key))
+    spoken = base.withColumn("language", text.language_of(F.col("review_text"), model))
     if translations is not None:
         spoken = text.apply_translations(spoken, translations)
     scores = text.lexicon_sentiment(
@@ -92,13 +92,12 @@ class SentencePools:
 
 
 def sentence_pools(
-    reviews: DataFrame, labelled: DataFrame, profiles: DataFrame, key: str = "review_id",
+    reviews: DataFrame, labelled: DataFrame, model: text.LanguageModel, key: str = "review_id",
     text_column: str = "review_text", context: str = "review_context",
 ) -> SentencePools:
     """Clean, keep English, remove labelled reviews, split, normalise and de-duplicate."""
     cleaned = reviews.withColumn(text_column, clean_text(F.col(text_column)))
-    spoken = text.detect_language(cleaned, profiles, [key], text_column)
-    english = text.keep_language(cleaned, spoken, [key])
+    english = cleaned.where(text.language_of(F.col(text_column), model) == "en")
     unleaked = text.drop_labelled_texts(english, labelled, text_column, context)
     pool = text.distinct_model_sentences(
         text.model_sentences(unleaked, text_column), [key, "sentence_no"]
