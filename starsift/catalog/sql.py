@@ -44,7 +44,7 @@ def t_two_sided(t: str, dof: str) -> str:
         f"exp(lgamma((({dof}) + 1) / 2e0) - lgamma(({dof}) / 2e0)) / sqrt(({dof}) * pi())"
         f" * pow(1 + pow(least(60e0, abs({t})) + {{x}}, 2) / ({dof}), -((({dof}) + 1) / 2e0))"
     )
-    return f"least(1e0, 2 * {simpson(density, '60e0', 2000)})"
+    return f"least(1e0, 2 * {simpson(density, '30e0', 6000)})"
 
 
 def chi_square_upper(x: str, dof: str) -> str:

@@ -16,14 +16,15 @@ from pyspark.sql import types as T
 _TINY = 1e-300
 _MAX_TERMS = 10_000
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
-_erfc = np.vectorize(math.erfc, otypes=[float])
+
+def _each(f, *values) -> np.ndarray:
+    """A scalar function over arrays."""
+    return np.array([f(*v) for v in zip(*values)], dtype=float)
 
 
 def normal_upper(z) -> np.ndarray:
     """P(Z > z)."""
-    z = np.asarray(z, dtype=float)
-    return 0.5 * _erfc(z / math.sqrt(2.0)) if z.size else z
+    return 0.5 * _each(math.erfc, np.atleast_1d(np.asarray(z, dtype=float)) / math.sqrt(2.0))
 
 
 def _nonzero(x: np.ndarray) -> np.ndarray:
@@ -48,32 +49,41 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return h
 
 
-def regularised_beta(a, b, x) -> np.ndarray:
-    """I_x(a, b)."""
-    a, b, x = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, b, x))
-    if not x.size:
-        return x
-    inside = np.clip(x, 1e-300, 1.0 - 1e-16)
-    front = np.exp(
-        _lgamma(a + b) - _lgamma(a) - _lgamma(b) + a * np.log(inside) + b * np.log1p(-inside)
-    )
-    low = inside < (a + 1.0) / (a + b + 2.0)
-    p = np.where(low, a, b)
-    q = np.where(low, b, a)
-    y = np.where(low, inside, 1.0 - inside)
-    part = front * _beta_fraction(p, q, y) / p
-    value = np.where(low, part, 1.0 - part)
-    return np.where(x <= 0, 0.0, np.where(x >= 1, 1.0, value))
+def _half_step(a: float) -> float:
+    """ln gamma(a + 1/2) - ln gamma(a), without cancellation for large a."""
+    if a > 1e4:
+        return 0.5 * math.log(a) - 1 / (8 * a) + 1 / (192 * a**3)
+    return math.lgamma(a + 0.5) - math.lgamma(a)
 
 
 def t_two_sided(t, dof) -> np.ndarray:
-    """P(|T| > |t|) with `dof` degrees of freedom; infinite t gives 0, undefined t stays undefined."""
-    t, dof = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(t, dof))
+    """P(|T| > |t|) with `dof` degrees of freedom; infinite t gives 0, undefined t stays undefined.
+
+    The tail is the regularised incomplete beta function of (dof/2, 1/2) at
+    dof / (dof + t^2).
+    """
+    t, dof = (np.array(v, dtype=float, ndmin=1) for v in np.broadcast_arrays(t, dof))
+    if not t.size:
+        return t
     defined = ~np.isnan(t) & ~np.isnan(dof) & (dof > 0)
-    finite = defined & ~np.isinf(t)
-    safe_t, safe_dof = np.where(finite, t, 0.0), np.where(defined, dof, 1.0)
-    p = regularised_beta(safe_dof / 2.0, np.full_like(safe_dof, 0.5), safe_dof / (safe_dof + safe_t**2))
-    return np.where(defined, np.where(np.isinf(t), 0.0, p), np.nan)
+    usable = defined & ~np.isinf(t) & (t != 0)
+    squared = np.where(usable, t, 1.0) ** 2
+    n = np.where(defined, dof, 1.0)
+    x, y = n / (n + squared), squared / (n + squared)
+    a = n / 2.0
+    front = np.exp(
+        _each(_half_step, a) - 0.5 * math.log(math.pi) - a * np.log1p(squared / n) + 0.5 * np.log(y)
+    )
+    low = x < (a + 1.0) / (a + 2.5)
+    half = np.full_like(a, 0.5)
+    part = (
+        front
+        * _beta_fraction(np.where(low, a, half), np.where(low, half, a), np.where(low, x, y))
+        / np.where(low, a, half)
+    )
+    p = np.where(low, part, 1.0 - part)
+    p = np.where(np.isinf(t), 0.0, np.where(t == 0, 1.0, p))
+    return np.where(defined, p, np.nan)
 
 
 def _gamma_series(a: float, x: float) -> float:
@@ -114,7 +124,10 @@ def _chi_square_upper(x: float, dof: float) -> float:
     return 1.0 - _gamma_series(a, half) if half < a + 1.0 else _gamma_fraction(a, half)
 
 
-chi_square_upper = np.vectorize(_chi_square_upper, otypes=[float])
+def chi_square_upper(x, dof) -> np.ndarray:
+    """P(X > x) of the chi-square law."""
+    x, dof = (np.array(v, dtype=float, ndmin=1) for v in np.broadcast_arrays(x, dof))
+    return _each(_chi_square_upper, x, dof)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -129,6 +142,4 @@ def t_two_sided_p(t: pd.Series, dof: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def chi_square_p(x: pd.Series, dof: pd.Series) -> pd.Series:
-    if not len(x):
-        return pd.Series([], dtype=float)
     return pd.Series(chi_square_upper(x.to_numpy(dtype=float), dof.to_numpy(dtype=float)))

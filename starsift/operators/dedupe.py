@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starsift.session import cut_lineage
+
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 32
 REVIEW_KEY = ("parent_asin", "review_title", "review_text")
@@ -66,18 +68,15 @@ def broadcast_if_small(df: DataFrame, text: str, max_bytes: int = BROADCAST_BYTE
 def drop_same_text(df: DataFrame, other: DataFrame, text: str, other_text: str) -> DataFrame:
     """Rows whose text equals no text of the other table; compared by digest, then in full.
 
-    The other table is measured first. A small one goes to every task, so the
-    texts stay where they are; a large one is joined on the digest, where
-    adaptive execution splits a digest that very many rows share.
+    The distinct other texts are stored and measured first. A small list goes to
+    every task, so the texts stay where they are; a large one is joined on the
+    digest, where adaptive execution splits a digest that very many rows share.
     """
     left = df.withColumn("_d", F.xxhash64(text))
-    right = broadcast_if_small(
-        other.where(F.col(other_text).isNotNull())
-        .select(F.col(other_text).alias("_other"))
-        .distinct()
-        .withColumn("_d", F.xxhash64("_other")),
-        "_other",
+    listed = (
+        other.where(F.col(other_text).isNotNull()).select(F.col(other_text).alias("_other")).distinct()
     )
+    right = broadcast_if_small(cut_lineage(listed), "_other").withColumn("_d", F.xxhash64("_other"))
     same = (left["_d"] == right["_d"]) & (left[text] == right["_other"])
     return left.join(right, same, "left_anti").drop("_d")
 

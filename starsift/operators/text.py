@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,20 +253,22 @@ def drop_labelled_texts(
 
 def _found_needles(needles: list[str]):
     """Task function: which needles occur in the texts of a partition, one linear scan each."""
-    import ahocorasick
 
     def scan(batches):
+        import ahocorasick
+
         automaton = ahocorasick.Automaton()
-        for i, needle in enumerate(needles):
-            automaton.add_word(needle, i)
+        for needle in needles:
+            automaton.add_word(needle, needle)
         automaton.make_automaton()
-        for pdf in batches:
-            ids, hits = [], []
-            for row_id, text in zip(pdf["_id"], pdf["_text"]):
-                found = {i for _, i in automaton.iter(text)} if text else set()
-                ids.extend([row_id] * len(found))
-                hits.extend(needles[i] for i in found)
-            yield pd.DataFrame({"_id": ids, "needle": hits})
+        for batch in batches:
+            rows, hits = [], []
+            for row, text in enumerate(batch.column("_text").to_pylist()):
+                found = sorted({needle for _, needle in automaton.iter(text)}) if text else []
+                rows.extend([row] * len(found))
+                hits.extend(found)
+            ids = batch.column("_id").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(hits, pa.string())], ["_id", "needle"])
 
     return scan
 
@@ -292,9 +295,10 @@ def contained_texts(
         chunk = [
             r[0] for r in listed.where(F.pmod(F.xxhash64("_n"), F.lit(groups)) == g).toLocalIterator()
         ]
-        hits = source.mapInPandas(_found_needles(chunk), f"_id {id_type}, needle string") if chunk else (
-            source.select("_id", F.lit(None).cast("string").alias("needle")).where(F.lit(False))
-        )
+        if chunk:
+            hits = source.mapInArrow(_found_needles(chunk), f"_id {id_type}, needle string")
+        else:
+            hits = source.select("_id", F.lit(None).cast("string").alias("needle")).where(F.lit(False))
         out = hits if out is None else out.unionAll(hits)
     return out.select(F.col("_id").alias(text_id), "needle")
 
