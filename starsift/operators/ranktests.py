@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from starsift.functions.tails import chi_square_p, normal_upper_p, t_two_sided_p
 from starsift.operators.profile import null_safe_corr
-from starsift.operators.running import present, running_counts
+from starsift.operators.running import present, running_counts, value_bucket
 
 SALTS = 8
 
@@ -56,9 +56,11 @@ def _attach_rank(pairs: DataFrame, ranks: DataFrame, value: str, other: str) ->
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson correlation of mid-ranks over rows where both values are known."""
-    kept = present(present(df, x), y)
+    values = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    # all conditions of the later steps, so that every use of the pairs is one plan
     pairs = (
-        kept.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+        present(present(values, "_x"), "_y")
+        .where(value_bucket(F.col("_x")).isNotNull() & value_bucket(F.col("_y")).isNotNull())
         .groupBy("_x", "_y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -149,7 +151,8 @@ def mann_whitney(
     def d(name: str) -> Column:
         return F.col(name).cast("double")
 
-    aggregates = [F.sum(d(f"n{i}")).alias(f"m{i}") for i in range(len(levels))]
+    # sizes come from the running totals, so that both sides of their join use all counts
+    aggregates = [F.max(d(f"n{i}_total")).alias(f"m{i}") for i in range(len(levels))]
     for a, b in chosen:
         t = d(f"n{a}") + d(f"n{b}")
         aggregates.append(

@@ -54,6 +54,9 @@ def running_counts(
         .groupBy(*groups, F.col(value).cast("double").alias("value"))
         .agg(*[counts[n].alias(n) for n in names])
         .withColumn("_b", value_bucket(F.col("value")))
+        # stated here, so that the join below adds it to neither side alone
+        # and both sides stay the same plan, which is run once
+        .where(F.col("_b").isNotNull())
     )
     per_bucket = freq.groupBy(*groups, "_b").agg(*[F.sum(n).alias(f"_{n}") for n in names])
     # bounded: at most two million bucket rows per group
@@ -104,6 +107,7 @@ def exact_quantiles(
         present(df, value, groups)
         .select(*groups, F.col(value).cast("double").alias("_v"))
         .withColumn("_b", value_bucket(F.col("_v")))
+        .where(F.col("_b").isNotNull())
     )
     per_bucket = rows.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
     ahead = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
