@@ -440,11 +440,14 @@ def ecdf(df: DataFrame, value: str, group: str) -> DataFrame:
     )
 
 
-def group_total_beside_rows(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """A label's total on each of its rows: totals are small, so they are joined, not windowed.
+def group_total_beside_rows(
+    df: DataFrame, group: str, value: str, name: str, few_groups: bool = True
+) -> DataFrame:
+    """A group's total on each of its rows, by a join with the totals.
 
-    A window would gather a whole label in one task; the totals are one row per
-    label after map-side sums.
+    A window would gather a whole group in one task. The totals are one row per
+    label after map-side sums: they are broadcast for a label column, and joined
+    like any table for a key with many values.
     """
-    totals = df.groupBy(group).agg(F.sum(value).alias(name))
-    return df.join(totals, group)
+    totals = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.sum(value).alias(name))
+    return df.join(F.broadcast(totals) if few_groups else totals, group)
