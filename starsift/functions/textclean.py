@@ -42,20 +42,30 @@ MIN_SENTENCE = 5
 MIN_MODEL_TEXT = 1
 
 
-@F.pandas_udf(T.StringType())
-def unescape_entities(text: pd.Series) -> pd.Series:
+def _unescape(text: pd.Series) -> pd.Series:
     """Character references to characters; the full list needs a parser, not a pattern."""
     return text.map(html.unescape, na_action="ignore")
 
 
+unescape_entities = F.pandas_udf(_unescape, T.StringType())
+# The same, marked so that the optimizer copies the steps built on it into no
+# filter above them: cleaned text is computed once and then reused.
+unescape_once = F.pandas_udf(_unescape, T.StringType()).asNondeterministic()
+
+
 def plain_spaces(text: Column) -> Column:
     """Every white-space character except the line break as a space."""
     return F.translate(text, SPACE_CHARACTERS, " " * len(SPACE_CHARACTERS))
 
 
-def clean_text(text: Column) -> Column:
-    """Entities, tags, links, headings, bullets and spacing made plain; no text gives ''."""
-    out = plain_spaces(F.coalesce(unescape_entities(text), F.lit("")))
+def clean_text(text: Column, once: bool = False) -> Column:
+    """Entities, tags, links, headings, bullets and spacing made plain; no text gives ''.
+
+    With `once` the result is not recomputed by filters that use it; filters on
+    other columns should then come before it.
+    """
+    unescape = unescape_once if once else unescape_entities
+    out = plain_spaces(F.coalesce(unescape(text), F.lit("")))
     for pattern, replacement in CLEAN_STEPS:
         out = F.regexp_replace(out, pattern, replacement)
     # single spaces are left, so the space before a full stop is one character;
@@ -70,9 +80,9 @@ def strip_spaces(text: Column) -> Column:
     return F.btrim(text, F.lit(ends))
 
 
-def model_text(text: Column) -> Column:
+def model_text(text: Column, once: bool = False) -> Column:
     """Cleaned text in lower case (cleaning leaves single spaces and none at the ends)."""
-    return F.lower(clean_text(text))
+    return F.lower(clean_text(text, once))
 
 
 def sentences(text: Column) -> Column:

@@ -51,7 +51,7 @@ def model_sentences(df: DataFrame, text: str = "review_text") -> DataFrame:
     """Sentences with their model text, blank ones left out."""
     return (
         explode_sentences(df, text)
-        .withColumn("sentence_for_model", model_text(F.col("sentence")))
+        .withColumn("sentence_for_model", model_text(F.col("sentence"), once=True))
         .where(F.length("sentence_for_model") > MIN_MODEL_TEXT)
     )
 
@@ -247,7 +247,7 @@ def drop_labelled_texts(
     contexts are compared with the twice-cleaned form.
     """
     contexts = labelled.where(F.col(context).isNotNull()).select(clean_text(F.col(context)).alias("_c"))
-    keyed = df.withColumn("_fingerprint", clean_text(F.col(text)))
+    keyed = df.withColumn("_fingerprint", clean_text(F.col(text), once=True))
     return drop_same_text(keyed, contexts, "_fingerprint", "_c").drop("_fingerprint")
 
 

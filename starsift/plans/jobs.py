@@ -96,7 +96,7 @@ def sentence_pools(
     text_column: str = "review_text", context: str = "review_context",
 ) -> SentencePools:
     """Clean, keep English, remove labelled reviews, split, normalise and de-duplicate."""
-    cleaned = reviews.withColumn(text_column, clean_text(F.col(text_column)))
+    cleaned = reviews.withColumn(text_column, clean_text(F.col(text_column), once=True))
     english = cleaned.where(text.language_of(F.col(text_column), model) == "en")
     unleaked = text.drop_labelled_texts(english, labelled, text_column, context)
     pool = text.distinct_model_sentences(
