@@ -196,9 +196,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A table; its footer is looked at once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def texts(self, name: str) -> DataFrame:
         """A table of long texts, spread over the cores where its files give too few tasks.
@@ -221,8 +225,7 @@ class Tables:
             F.col("p_type").alias("main_category"),
         )
 
-    @cached_property
-    def reviews(self) -> DataFrame:
+    def linked(self, products: DataFrame) -> DataFrame:
         """Line items joined to parts, in review terms."""
         documents = self.read("documents").agg(F.count(F.lit(1))).scalar()
         lines = self.read("lineitem").select(
@@ -236,13 +239,18 @@ class Tables:
             F.round(F.col("l_tax") * 100).cast("long").alias("helpful_vote"),
             ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % documents).alias("doc_id"),
         )
-        return lines.join(self.products, "parent_asin").select(
+        labels = [c for c in ("title_class", "brand") if c in products.columns]
+        return lines.join(products, "parent_asin").select(
             "order_key", "line_no", "parent_asin", "rating", "date", "verified_purchase",
             "product_title",
             F.when(F.col("p_size") % 5 != 0, F.col("l_extendedprice") / 50).alias("price"),
-            "average_rating", "rating_number", "main_category", "helpful_vote", "doc_id",
+            "average_rating", "rating_number", "main_category", "helpful_vote", "doc_id", *labels,
         )
 
+    @cached_property
+    def reviews(self) -> DataFrame:
+        return self.linked(self.products)
+
     @cached_property
     def overrides(self) -> DataFrame:
         """Product category corrections; some products are named twice."""
@@ -261,12 +269,13 @@ class Tables:
             "parent_asin % 101 = 0"
         )
 
-    def prepare(self, reviews: DataFrame) -> DataFrame:
-        return prepare_columns(reviews, HOW, self.overrides, self.denied)
-
     @cached_property
     def prepared(self) -> DataFrame:
-        return self.prepare(self.reviews)
+        """The prepared columns; titles are matched once per product, before the join."""
+        labelled = clean.label_products(
+            self.products, "product_title", HOW.classes, HOW.brand_pattern, HOW.aliases()
+        )
+        return prepare_columns(self.linked(labelled), HOW, self.overrides, self.denied)
 
     @cached_property
     def lengths(self) -> DataFrame:

@@ -105,10 +105,13 @@ def with_category(
 ) -> DataFrame:
     """Title class, corrected by product lists, with unwanted classes removed.
 
-    `overrides` holds (key, category, priority) and may name a product more
+    A `title_class` column found already (see `label_products`) saves matching
+    the title once per review. `overrides` holds (key, category, priority) and may name a product more
     than once: the smallest priority wins. `denied` holds keys to drop.
     """
-    out = df.withColumn("category", classify_title(F.col(title), classes))
+    known = "title_class" in df.columns
+    found = F.col("title_class") if known else classify_title(F.col(title), classes)
+    out = df.withColumn("category", found).drop("title_class")
     if overrides is not None:
         chosen = overrides.groupBy(key).agg(F.min_by("category", "priority").alias("_override"))
         out = (
@@ -145,6 +148,22 @@ def with_brand(
     return df.withColumn("brand", detect_brand(F.col(title), pattern, aliases))
 
 
+def label_products(
+    products: DataFrame,
+    title: str = "title",
+    classes: Sequence[tuple[str, str]] = P.TITLE_CLASSES,
+    pattern: str = P.BRAND_PATTERN,
+    aliases: Mapping[str, str] = P.BRAND_ALIASES,
+) -> DataFrame:
+    """Title class and brand of each product, so that its reviews need not repeat the work."""
+    return products.withColumns(
+        {
+            "title_class": classify_title(F.col(title), classes),
+            "brand": detect_brand(F.col(title), pattern, aliases),
+        }
+    )
+
+
 def pattern_flag(text: Column, pattern: str) -> Column:
     """1 where the text holds the pattern; no text gives 0."""
     return F.coalesce(text, F.lit("")).rlike(whole_word(pattern)).cast("int")

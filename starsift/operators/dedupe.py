@@ -21,9 +21,10 @@ def link_reviews(reviews: DataFrame, products: DataFrame, key: str = "parent_asi
     sort-merge joined and adaptive execution splits hot products.
     """
     r = reviews.withColumnsRenamed({"title": "review_title", "text": "review_text"})
+    labels = [c for c in ("title_class", "brand") if c in products.columns]
     p = products.select(
         key, F.col("title").alias("product_title"), "price", "average_rating", "rating_number",
-        "main_category",
+        "main_category", *labels,
     )
     return r.join(p, key)
 

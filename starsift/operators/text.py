@@ -21,7 +21,7 @@ from starsift.functions.textclean import (
     strip_spaces,
     word_count,
 )
-from starsift.operators.dedupe import drop_same_text, first_per_key
+from starsift.operators.dedupe import broadcast_if_small, drop_same_text, first_per_key
 
 UNKNOWN_LANGUAGE = "unknown"
 GRAM = r"(?s)(?=(...))"
@@ -194,8 +194,8 @@ def lexicon_sentiment(
 
     A negator among the three words before turns and damps a valence; a booster
     directly before strengthens it. The three words before travel with each
-    word, so no ordered window is needed, and words outside the lexicon are
-    dropped by the join before anything is shuffled.
+    word, so no ordered window is needed. A lexicon measured as small is
+    broadcast, and words outside it are dropped before anything is shuffled.
     """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}']+"), lambda w: w != "")
     tokens = df.select(*key, words.alias("_w"))
@@ -225,7 +225,7 @@ def lexicon_sentiment(
     value = F.when(negated, base * NEGATION_FACTOR).otherwise(base)
     total = F.col("_s")
     scored = (
-        spread.join(lexicon.select("word", "valence"), "word")
+        spread.join(broadcast_if_small(lexicon.select("word", "valence"), "word"), "word")
         .groupBy(*key)
         .agg(F.sum(value).alias("_s"))
         .select(*key, (total / F.sqrt(total * total + NORMALISER)).alias(column))

@@ -37,6 +37,9 @@ class Preparation:
     negators: Sequence[str] = text.NEGATORS
     boosters: Sequence[str] = text.BOOSTERS
 
+    def aliases(self) -> Mapping[str, str]:
+        return P.BRAND_ALIASES if self.brand_aliases is None else self.brand_aliases
+
 
 def prepare_columns(
     df: DataFrame,
@@ -47,15 +50,17 @@ def prepare_columns(
     """Dates, tiers, periods, categories and brands: everything that needs no text model.
 
     Tiers are cut before categories are filtered, so their quantiles cover all products.
+    Reviews linked to labelled products bring their title class and brand along.
     """
-    aliases = P.BRAND_ALIASES if how.brand_aliases is None else how.brand_aliases
-    return (
+    out = (
         df.transform(clean.basic_clean, how.excluded)
         .transform(clean.with_price_tier)
         .transform(clean.with_period, "date", how.period_cuts)
         .transform(clean.with_category, how.classes, overrides, denied)
-        .transform(clean.with_brand, "product_title", how.brand_pattern, aliases)
     )
+    if "brand" in df.columns:
+        return out
+    return out.transform(clean.with_brand, "product_title", how.brand_pattern, how.aliases())
 
 
 def prepared_reviews(

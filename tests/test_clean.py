@@ -217,3 +217,24 @@ def test_box_whiskers(spark):
     r = summaries.box_summary(df, "v", "k").first()
     assert (r["q1"], r["median"], r["q3"]) == (2.0, 3.0, 4.0)
     assert (r["lower_whisker"], r["upper_whisker"], r["max"]) == (1.0, 4.0, 100.0)
+
+
+def test_labelled_products_give_the_same_columns(spark):
+    from starsift.plans import jobs
+
+    products = spark.createDataFrame(
+        [("a", "Dell laptop", 1.0, 4.0, 9, "Computers"), ("b", "iPad Pro", 2.0, 4.0, 9, None), ("c", "cable", 3.0, 4.0, 9, "x")],
+        "parent_asin string, title string, price double, average_rating double, rating_number long, main_category string",
+    )
+    reviews = spark.createDataFrame(
+        [(p, f"t{i}", "text but", 1583020800000 + i) for i, p in enumerate("aabbc")],
+        "parent_asin string, title string, text string, timestamp long",
+    )
+    plain = jobs.prepare_columns(dedupe.link_reviews(reviews, products))
+    labelled = jobs.prepare_columns(dedupe.link_reviews(reviews, clean.label_products(products)))
+    names = sorted(plain.columns)
+    assert sorted(labelled.columns) == names
+    assert sorted(labelled.select(names).collect(), key=str) == sorted(plain.select(names).collect(), key=str)
+    assert {(r["parent_asin"], r["category"], r["brand"]) for r in plain.collect()} == {
+        ("a", "laptop", "dell"), ("b", "tablet", "apple"),
+    }
