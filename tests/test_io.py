@@ -100,15 +100,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-TRAINED = ("m01", "m02", "m03", "m04", "m05", "m07_score", "g04", "t08", "x0")
-
-
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(TRAINED)))
-def test_no_pairing_of_all_rows(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-
-
 def test_scan_reads_only_what_is_needed(spark, sf_dir):
     text = plan(QUERIES["e04_reviews_by_category"](spark, sf_dir))
     scan = next(line for line in text.splitlines() if "lineitem.parquet" in line)
