@@ -15,7 +15,7 @@ from starsift.llm.common import (
 )
 
 #: Rows and bytes of text a task compares with itself before anything is shuffled.
-PIECE_ROWS, PIECE_BYTES = 4_000, 12 << 20
+PIECE_ROWS, PIECE_BYTES = 4_000, 5 << 20
 #: Bits of an anchor's hash that travel, with one more for "stands at a block".
 ANCHOR_BITS = 39
 #: Parts of the anchor index for each shuffle partition.
@@ -124,12 +124,14 @@ def _anchors(rows: DataFrame, window: int, block: int, parts: int) -> DataFrame:
             many = last != leader
             # hits inside the piece
             hit = many[number]
-            pairs = np.unique(np.stack([owners[hit], key[order][hit].view(np.int64)]), axis=1)
-            starts = np.flatnonzero(np.diff(pairs[0], prepend=pairs[0][0] - 1)) if pairs.shape[1] else np.zeros(0, int)
-            for a, b in zip(starts, np.append(starts[1:], pairs.shape[1]), strict=True):
-                d = int(pairs[0][a])
+            hit_doc, hit_key = owners[hit], key[order][hit]
+            by_doc = np.lexsort((hit_key, hit_doc))
+            hit_doc, hit_key = hit_doc[by_doc], hit_key[by_doc]
+            starts = np.flatnonzero(np.append(True, hit_doc[1:] != hit_doc[:-1])) if len(hit_doc) else np.zeros(0, int)
+            for a, b in zip(starts, [*starts[1:], len(hit_doc)] if len(starts) else [], strict=True):
+                d = int(hit_doc[a])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([d % parts], pa.int32()), pa.array([d], pa.int64()), pa.array([pairs[1][a:b].tobytes()], pa.binary())],
+                    [pa.array([d % parts], pa.int32()), pa.array([d], pa.int64()), pa.array([hit_key[a:b].tobytes()], pa.binary())],
                     names=names,
                 )
             # anchors for the index
@@ -276,8 +278,9 @@ def repeated_windows(
     ids = hits.select(F.col("doc").alias("doc_id")).distinct()
     found = with_ids(rows.filter("text is not null"), ids).join(by_doc, "doc_id").select("doc_id", "text", "anchors")
     met = _windows(found, window, block, parts)
-    slot = Window.partitionBy(F.when(F.col("sure"), F.xxhash64("h", "doc", "place")).otherwise(F.col("h")), "sure")
-    later = met.withColumn("least", F.min("doc").over(slot)).filter("sure or least < doc")
+    met = met.withColumn("slot", F.when(F.col("sure"), F.xxhash64("h", "doc", "place")).otherwise(F.col("h")))
+    least = F.min("doc").over(Window.partitionBy("slot", "sure"))
+    later = met.select("doc", "place", "sure", least.alias("least")).filter("sure or least < doc")
     return stored(
         later.select(F.col("doc").alias("doc_id"), "place").groupBy("doc_id").agg(F.collect_set("place").alias("starts"))
     )
