@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,12 +16,20 @@ from starsift.llm.common import id_and_bytes, id_and_text, text_chunks
 #: Labelled documents the model is fitted on; documented bounds of the sample and its vocabulary.
 SAMPLE_ROWS = 20_000
 VOCABULARY = 512
-#: A word counts as evidence only where so many sampled documents hold it.
-LEAST_DOCUMENTS = 8
+#: Evidence must stand in so many sampled documents and reach this chi-square, far above chance among many words.
+LEAST_DOCUMENTS, LEAST_CHI = 5, 30.0
+#: and be so many times as frequent in toxic documents as in others.
+LEAST_RATIO = 10
+#: Candidates sent to the driver for each place in the vocabulary; beginnings of words make most others needless.
+CANDIDATES = 16
 #: Severity grades above 0.
 GRADES = 3
-#: Every so many sampled rows one is held out to choose the cut.
-HELD_OUT = 5
+#: Parts of the sample: each is judged by a model of the others to choose the cut.
+FOLDS = 3
+#: The cut is at least this many times the probability of a text without evidence.
+ABOVE_NONE = 1.5
+#: Letters of the word beginnings that are features beside whole words, so that inflected words count together.
+STEMS = (4, 5, 6)
 LETTERS = re.compile(r"[^\W\d_]+")
 MEMO = 500_000
 
@@ -45,12 +54,13 @@ class SeverityModel:
         return 1 / (1 + np.exp(-(scores[:, None] - self.thresholds[None, :])))
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, steps: int = 600, penalty: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, steps: int = 300, penalty: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by gradient steps on the mean negative log-likelihood with an L2 penalty.
 
     Thresholds are a first value and positive gaps (as logarithms), so they stay in order.
     """
     n, width = x.shape
+    x = x.astype(np.float32)
     w = np.zeros(width)
     share = np.array([np.clip((y > k).mean(), 1e-4, 1 - 1e-4) for k in range(grades)])
     start = np.log(1 / share - 1)
@@ -60,14 +70,14 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, steps: int = 600, pen
     for step in range(1, steps + 1):
         theta = np.cumsum(np.concatenate([[cuts[0]], np.exp(cuts[1:])]))
         edges = np.concatenate([[-np.inf], theta, [np.inf]])
-        z = x @ w
+        z = (x @ w.astype(np.float32)).astype(float)
         up = 1 / (1 + np.exp(-(np.clip(edges[high + 1] - z, -40, 40))))  # P(grade <= y)
         down = 1 / (1 + np.exp(-(np.clip(edges[low + 1] - z, -40, 40))))  # P(grade < y)
         up[np.isinf(edges[high + 1])] = 1.0
         down[np.isinf(edges[low + 1])] = 0.0
         p = np.maximum(up - down, 1e-12)
         g_up, g_down = up * (1 - up) / p, down * (1 - down) / p
-        g_w = x.T @ ((g_up - g_down) / n) + penalty * w
+        g_w = x.T @ ((g_up - g_down) / n).astype(np.float32) + penalty * w
         g_theta = np.zeros(grades)
         for k in range(grades):
             g_theta[k] = (g_down[low == k].sum() - g_up[high == k].sum()) / n
@@ -76,14 +86,19 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, steps: int = 600, pen
         g = np.concatenate([g_w, g_cuts])
         m[0] = 0.9 * m[0] + 0.1 * g
         m[1] = 0.999 * m[1] + 0.001 * g * g
-        move = 0.05 * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-9)
+        move = 0.1 * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-9)
         w -= move[:width]
         cuts -= move[width:]
     return w, np.cumsum(np.concatenate([[cuts[0]], np.exp(cuts[1:])]))
 
 
-def distinct_words(text: bytes | None) -> set[str]:
-    return set(LETTERS.findall(text.decode().lower())) if text else set()
+def features(word: str) -> list[str]:
+    """The word, and its beginnings with a star."""
+    return [word, *[word[:k] + "*" for k in STEMS if len(word) > k]]
+
+
+def distinct_features(words: list[str]) -> set[str]:
+    return {f for w in set(words) for f in features(w)}
 
 
 def best_cut(p: np.ndarray, toxic: np.ndarray) -> float:
@@ -105,8 +120,8 @@ def fit_severity(
 ) -> SeverityModel:
     """A model from 0 / 1 labels, fitted on at most `sample_rows` labelled documents (the first by a hash of the id).
 
-    Evidence words: the `vocabulary` words whose presence tells labelled toxic documents best from others (chi-square
-    with sign), counted by Spark over the sample. Grades of toxic documents are thirds of how dense the words that
+    Evidence: the `vocabulary` words and word beginnings whose presence speaks most for toxicity (chi-square), counted by
+    Spark over the sample; a word whose beginning is as clear evidence is left out. Grades of toxic documents are thirds of how dense the words that
     speak for toxicity stand in them; documents that are not toxic have grade 0. Without usable labels the model has
     no words and calls nothing toxic. Null labels and null ids are left out; of repeated labels the highest counts.
     """
@@ -121,40 +136,46 @@ def fit_severity(
     texts = id_and_text(docs, id_col, text_col).filter("text is not null")
     sample = texts.join(F.broadcast(marked), "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "toxic")
 
-    def words_of(batches):
+    def counts_of(batches):
         for batch in batches:
-            ids, found, marks = [], [], []
+            seen: list[Counter] = [Counter(), Counter()]
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                here = distinct_words(text)
-                found += here
-                marks += [toxic] * len(here)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(marks, pa.int32())], names=["word", "toxic"])
+                seen[toxic > 0].update(distinct_features(LETTERS.findall(text.decode().lower())))
+            names = list(seen[0] | seen[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), *[pa.array([seen[k][f] for f in names], pa.int64()) for k in (1, 0)]], names=["word", "a", "b"]
+            )
 
-    totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
+    is_toxic = (F.col("toxic") > 0).alias("toxic")
+    totals = {r.toxic: r.n for r in sample.groupBy(is_toxic).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_toxic, n_clean = totals.get(True, 0), totals.get(False, 0)
     if not n_toxic or not n_clean:
         return SeverityModel([], np.zeros(0), np.zeros(0), 0.5, {})
-    a = F.sum("toxic")
-    b = F.count(F.lit(1)) - a
-    counted = sample.mapInArrow(words_of, "word string, toxic int").groupBy("word").agg(a.alias("a"), b.alias("b"))
+    ratio = F.col("a") * n_clean >= F.col("b") * LEAST_RATIO * n_toxic
+    counted = sample.mapInArrow(counts_of, "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     n = n_toxic + n_clean
     chi = (F.col("a") * n_clean - F.col("b") * n_toxic).cast("double")
     spread = (F.col("a") + F.col("b")).cast("double") * (n - F.col("a") - F.col("b") + 1)
-    top = counted.filter(F.col("a") + F.col("b") >= LEAST_DOCUMENTS).select(
-        "word", "a", "b", (chi * chi / spread).alias("chi"), (chi > 0).alias("speaks_for")
+    top = counted.filter((F.col("a") + F.col("b") >= LEAST_DOCUMENTS) & ratio).select(
+        "word", "a", "b", (chi * chi / spread * n / (n_clean * n_toxic)).alias("chi")
     )
-    chosen = top.orderBy(F.desc("chi"), "word").limit(vocabulary).collect()
-    words = [r.word for r in chosen]
+    top = top.filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), F.length("word"), "word")
+    chosen: dict = {}
+    for r in top.limit(CANDIDATES * vocabulary).collect():
+        stems = [chosen[s] for k in range(min(STEMS), len(r.word)) if (s := r.word[:k] + "*") in chosen]
+        if len(chosen) < vocabulary and not any(t.a / (t.a + t.b) >= r.a / (r.a + r.b) - 0.02 for t in stems):
+            chosen[r.word] = r
+    words = list(chosen)
     place = {w: i for i, w in enumerate(words)}
-    loud = {r.word for r in chosen if r.speaks_for and r.a * n_clean > 10 * r.b * n_toxic}
 
     def marks_of(batches):
         for batch in batches:
             rows = []
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 all_words = LETTERS.findall(text.decode().lower())
-                held = sorted({place[w] for w in all_words if w in place})
-                rows.append((held, sum(w in loud for w in all_words) / max(1, len(all_words)), toxic))
+                held = sorted({place[f] for f in distinct_features(all_words) if f in place})
+                strong = sum(not place.keys().isdisjoint(features(w)) for w in all_words)
+                rows.append((held, strong / max(1, len(all_words)), toxic))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.float64()),
                  pa.array([r[2] for r in rows], pa.int32())],
@@ -170,18 +191,17 @@ def fit_severity(
     density = np.array([r.density for r in rows])
     thirds = np.quantile(density[toxic], np.arange(1, GRADES) / GRADES)
     grade = np.where(toxic, 1 + np.searchsorted(thirds, density, side="right"), 0)
-    test = np.arange(len(rows)) % HELD_OUT == 0
-    if toxic[test].all() or not toxic[test].any() or not toxic[~test].any():
-        test[:] = False
-    weights, thresholds = fit_ordinal(x[~test], grade[~test], GRADES)
+    p = np.zeros(len(rows))
+    fold = np.arange(len(rows)) % FOLDS
+    for k in range(FOLDS):
+        weights, thresholds = fit_ordinal(x[fold != k], grade[fold != k], GRADES)
+        p[fold == k] = SeverityModel(words, weights, thresholds, 0.5, {}).above(x[fold == k] @ weights)[:, 0]
+    weights, thresholds = fit_ordinal(x, grade, GRADES)
     model = SeverityModel(words, weights, thresholds, 0.5, {})
-    judged = test if test.any() else ~test
-    p = model.above(x[judged] @ weights)[:, 0]
-    model.cut = best_cut(p, toxic[judged])
-    called = p >= model.cut
+    model.cut = cut = max(best_cut(p, toxic), min(0.9, ABOVE_NONE * float(model.above(np.zeros(1))[0, 0])))
+    called = p >= cut
     model.held_out = {
-        "rows": int(judged.sum()), "toxic": int(toxic[judged].sum()), "hits": int((called & toxic[judged]).sum()),
-        "false": int((called & ~toxic[judged]).sum()),
+        "rows": len(rows), "toxic": int(toxic.sum()), "hits": int((called & toxic).sum()), "false": int((called & ~toxic).sum())
     }
     return model
 
@@ -194,7 +214,7 @@ class _Evidence(dict):
         self.place = place
 
     def __missing__(self, run: bytes):
-        out = tuple(self.place[w] for w in LETTERS.findall(run.decode().lower()) if w in self.place)
+        out = tuple(self.place[f] for w in LETTERS.findall(run.decode().lower()) for f in features(w) if f in self.place)
         if len(self) >= MEMO:
             self.clear()
         self[run] = out
