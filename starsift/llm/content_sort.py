@@ -90,13 +90,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "points", F.col("doc_id").isNotNull().alias("known"), F.bitwise_not("doc_id").alias("low"),
         (-F.col("part")).alias("part"), (-F.col("place")).alias("place"),
     )
-    stored = cut_lineage(runs.select("range", "part", "run", "doc_id", "text_sha256", standing.alias("standing")))
+    placed_runs = cut_lineage(runs.select("range", "part", "run", "doc_id", "text_sha256", standing.alias("standing")))
 
-    per_run = stored.groupBy("range", "part", "run").agg(
+    per_run = placed_runs.groupBy("range", "part", "run").agg(
         F.max("standing").alias("best"), F.count(F.lit(1)).alias("n"), F.first("text_sha256").alias("text_sha256")
     )
-    groups = per_run.groupBy("text_sha256").agg(F.max("best").alias("best"), F.sum("n").alias("group_size"))
-    return stored.join(groups, "text_sha256").select(
+    groups = cut_lineage(per_run.groupBy("text_sha256").agg(F.max("best").alias("best"), F.sum("n").alias("group_size")))
+    return placed_runs.join(groups, "text_sha256").select(
         "doc_id",
         F.bitwise_not("best.low").alias("keep_id"),
         "group_size",
