@@ -21,7 +21,7 @@ from starsift.llm.common import WordHashes, hashed_words, id_and_bytes, mixed, s
 from starsift.llm.components import components
 
 #: Rows and bytes of text a task compares with itself before anything is shuffled.
-PIECE_ROWS, PIECE_BYTES = 4_000, 12 << 20
+PIECE_ROWS, PIECE_BYTES = 4_000, 8 << 20
 #: Sets in a block of a tile.
 BLOCK = 128
 #: Parts beyond the least number, as a share of H: they let parts of few shingles go unused.
@@ -226,42 +226,78 @@ def _meetings(rows: DataFrame, how: Likeness) -> DataFrame:
     return rows.mapInArrow(run, "key long, doc long, near long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
-    """The pairs (a, b) that link: bit counts first, then the intersection of the sorted arrays."""
-    left = sets.select(F.col("doc").alias("a"), F.col("items").alias("items_a"), F.col("bits").alias("bits_a"))
-    right = sets.select(F.col("doc").alias("b"), F.col("items").alias("items_b"), F.col("bits").alias("bits_b"))
+def _per_set(rows: DataFrame, ids: DataFrame, how: Likeness, column: str) -> DataFrame:
+    """(doc, n, bits or items) of the documents `ids`, from their texts."""
+    form = {"bits": bitmap, "items": lambda s: s}[column]
 
     def run(batches):
-        for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            columns = [batch.column(c) for c in ("items_a", "bits_a", "items_b", "bits_b")]
-            keep = []
-            for i in range(batch.num_rows):
-                items_a, bits_a, items_b, bits_b = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in columns)
-                n_a, n_b = len(items_a), len(items_b)
-                if not how.linked(most_common(bits_a, bits_b, n_a, n_b), n_a, n_b):
-                    continue
-                if how.linked(len(np.intersect1d(items_a, items_b, assume_unique=True)), n_a, n_b):
-                    keep.append(i)
+        for doc_ids, texts in text_chunks(batches, PIECE_ROWS, PIECE_BYTES):
+            sets = shingle_sets(texts, how, _memo())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"]
+                [pa.array(doc_ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([form(s).tobytes() for s in sets], pa.binary())],
+                names=["doc", "n", column],
             )
 
-    return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a long, b long")
+    return stored(with_ids(rows, ids).mapInArrow(run, f"doc long, n long, {column} binary").distinct())
+
+
+def _with_both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    for side in ("b", "a"):
+        other = sets.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"of_{side}"))
+        pairs = pairs.join(other, side)
+    return pairs.select("a", "b", "n_a", "n_b", "of_a", "of_b")
+
+
+def _picked(both: DataFrame, keeps) -> DataFrame:
+    """Pairs for which keeps(array of a, array of b, n_a, n_b)."""
+
+    def run(batches):
+        for batch in batches:
+            left, right, n_a, n_b = (batch.column(c) for c in ("of_a", "of_b", "n_a", "n_b"))
+            keep = [
+                keeps(np.frombuffer(left[i].as_buffer(), np.uint64), np.frombuffer(right[i].as_buffer(), np.uint64), n_a[i].as_py(), n_b[i].as_py())
+                for i in range(batch.num_rows)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame, how: Likeness) -> DataFrame:
+    """The pairs (a, b) that link: bit counts of all, then the intersection of the sorted arrays of those they allow."""
+
+    def allowed(a, b, n_a, n_b):
+        return how.linked(most_common(a, b, n_a, n_b), n_a, n_b)
+
+    def exact(a, b, n_a, n_b):
+        return how.linked(len(np.intersect1d(a, b, assume_unique=True)), n_a, n_b)
+
+    left = stored(_picked(_with_both(pairs, bits, "bits"), allowed))
+    ids = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
+    return _picked(_with_both(left, _per_set(rows, ids, how, "items"), "items"), exact)
+
+
+def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, doc, label) of the keys that hold several components; a set without any link is its own."""
+    label = F.coalesce("component", "doc").alias("label")
+    named = stored(members.join(found, F.col("doc") == F.col("node"), "left").select("key", "doc", label))
+    several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return stored(named.join(stored(several.select("key")), "key", "left_semi"))
 
 
 def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
     """Pairs of sets of one key in different components whose bitmaps allow a link.
 
-    Rows (key, doc, label, n, bits). The sets of a key are dealt into blocks; an equal join on the key brings every two
-    blocks together once, and a task compares the bitmaps of the two.
+    Rows (key, doc, label, n, bits, keys). The sets of a key are dealt into blocks; an equal join on the key brings
+    every two blocks together once, and a task compares the bitmaps of the two. A pair counts under the first key
+    that both sets have.
     """
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     dealt = members.join(counts, "key")
     block = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / BLOCK))
     blocks = stored(
         dealt.groupBy("key", block.alias("block")).agg(
-            F.collect_list(F.struct("doc", "label", "n", "bits")).alias("sets"),
+            F.collect_list(F.struct("doc", "label", "n", "bits", "keys")).alias("sets"),
             F.min("label").alias("low"), F.max("label").alias("high"),
         )
     )
@@ -272,22 +308,26 @@ def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
     def run(batches):
         for batch in batches:
             found_a, found_b = [], []
-            for row in batch.select(["sets", "sets_2"]).to_pylist():
-                one, two = row["sets"], row["sets_2"]
+            for row in batch.to_pylist():
+                one, two, key = row["sets"], row["sets_2"], row["key"]
+                held = [[frozenset(s["keys"]) for s in part] for part in (one, two)]
                 words = min(len(s["bits"]) for s in one + two) // 8
                 matrix = [np.array([folded(np.frombuffer(s["bits"], np.uint64), words) for s in part]) for part in (one, two)]
                 n, label, doc = (([np.array([s[c] for s in part]) for part in (one, two)]) for c in ("n", "label", "doc"))
                 for i in range(len(one)):
-                    ahead = (label[1] != label[0][i]) & (doc[1] != doc[0][i])
+                    ahead = (label[1] != label[0][i]) & (doc[1] > doc[0][i] if row["same"] else doc[1] != doc[0][i])
                     only_a = np.bitwise_count(matrix[0][i] & ~matrix[1]).sum(axis=1).astype(np.int64)
                     only_b = np.bitwise_count(matrix[1] & ~matrix[0][i]).sum(axis=1).astype(np.int64)
                     common = np.minimum(n[0][i] - only_a, n[1] - only_b)
                     for j in np.flatnonzero(ahead & how.linked(common, n[0][i], n[1])):
+                        if min(held[0][i] & held[1][j]) != key:
+                            continue
                         found_a.append(min(int(doc[0][i]), int(doc[1][j])))
                         found_b.append(max(int(doc[0][i]), int(doc[1][j])))
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
-    return pairs.select("sets", "sets_2").mapInArrow(run, "a long, b long").distinct()
+    same = (F.col("block") == F.col("block_2")).alias("same")
+    return pairs.select("key", "sets", "sets_2", same).mapInArrow(run, "a long, b long").distinct()
 
 
 def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -307,20 +347,17 @@ def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "do
     table = stored(_set_table(rows, how))
     named = table.filter("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("held"))
-    several = classes.filter("held > 1").drop("held")
+    several = stored(classes.filter("held > 1").drop("held"))
     copies = stored(
         named.join(several, ["d1", "d2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("doc"), "rep").distinct()
     )
 
     met = _meetings(rows, how)
     alone = F.col("near").isNull()
-    slot = Window.partitionBy(F.when(alone, F.col("key")).otherwise(F.xxhash64("key", "doc")), alone)
-    shared = stored(
-        met.withColumn("first", F.min("doc").over(slot))
-        .withColumn("n", F.count(F.lit(1)).over(slot))
-        .filter((F.col("n") > 1) | ~alone)
-        .select("key", "doc", F.coalesce("near", "first").alias("first"))
-    )
+    met = met.withColumn("slot", F.when(alone, F.col("key")).otherwise(F.xxhash64("key", "doc"))).withColumn("alone", alone)
+    slot = Window.partitionBy("slot", "alone")
+    met = met.select("key", "doc", "near", "alone", F.min("doc").over(slot).alias("first"), F.count(F.lit(1)).over(slot).alias("n"))
+    shared = stored(met.filter("n > 1 or not alone").select("key", "doc", F.coalesce("near", "first").alias("first")))
 
     def by_class(pairs: DataFrame, *columns: str) -> DataFrame:
         """Ids replaced by the smallest id with the same set."""
@@ -333,30 +370,25 @@ def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "do
     stars = stored(stars.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     involved = stored(stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct())
 
-    def items(batches):
-        for ids, texts in text_chunks(batches, PIECE_ROWS, PIECE_BYTES):
-            sets = shingle_sets(texts, how, _memo())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
-                ],
-                names=["doc", "n", "items", "bits"],
-            )
-
-    sets = stored(with_ids(rows, involved).mapInArrow(items, "doc long, n long, items binary, bits binary").distinct())
-    links = stored(_verified(stars, sets, how))
+    bits = _per_set(rows, involved, how, "bits")
+    links = stored(_verified(stars, rows, bits, how))
     found = components(links)
 
-    # keys that still hold several components; a set without any link is its own
-    label = F.coalesce("component", "doc").alias("label")
-    members = by_class(shared.select("key", "doc").union(shared.select("key", F.col("first").alias("doc"))), "doc").distinct()
-    members = stored(members.join(found, F.col("doc") == F.col("node"), "left").select("key", "doc", label))
-    open_keys = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    left = members.join(open_keys.select("key"), "key", "left_semi").join(sets.select("doc", "n", "bits"), "doc")
-    more = stored(_verified(stored(_tile_pairs(left, how)), sets, how))
+    members = stored(
+        by_class(shared.select("key", "doc").union(shared.select("key", F.col("first").alias("doc"))), "doc").distinct()
+    )
+    # once more with another set of each key that still holds several components, drawn by a hash
+    drawn = _open_members(members, found)
+    pivots = drawn.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc", "key").alias("h"), "doc", "label")).alias("pivot"))
+    again = drawn.join(stored(pivots), "key").filter("label <> pivot.label")
+    again = again.select(F.least("doc", "pivot.doc").alias("a"), F.greatest("doc", "pivot.doc").alias("b")).distinct()
+    links = stored(links.union(_verified(stored(again), rows, bits, how)))
+    found = components(links)
+    # all pairs of different components in the keys that are left
+    left = _open_members(members, found)
+    keys = left.groupBy("doc").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    left = left.join(bits, "doc").join(keys, "doc")
+    more = stored(_verified(stored(_tile_pairs(left, how)), rows, bits, how))
     if not more.isEmpty():
         found = components(links.union(more))
 
