@@ -17,13 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsift.llm.common import WordHashes, hashed_words, id_and_bytes, mixed, stored, text_chunks, with_ids, worker_store
+from starsift.llm.common import WordHashes, hashed_words, id_and_bytes, mixed, stored, text_chunks, with_ids, worker_memo
 from starsift.llm.components import components
 
 #: Rows and bytes of text a task compares with itself before anything is shuffled.
 PIECE_ROWS, PIECE_BYTES = 4_000, 8 << 20
 #: Sets in a block of a tile.
 BLOCK = 128
+#: Times that sets are verified against a drawn set of each open key before all its blocks meet.
+ROUNDS = 2
 #: Parts beyond the least number, as a share of H: they let parts of few shingles go unused.
 SPARE = 0.18
 
@@ -169,7 +171,7 @@ def most_common(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> int:
 
 
 def _memo() -> WordHashes:
-    return worker_store().setdefault("word hashes", WordHashes())
+    return worker_memo(("word hashes",), WordHashes)
 
 
 def _set_table(rows: DataFrame, how: Likeness) -> DataFrame:
@@ -277,27 +279,32 @@ def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame, how: Likeness)
     return _picked(_with_both(left, _per_set(rows, ids, how, "items"), "items"), exact)
 
 
-def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, doc, label) of the keys that hold several components; a set without any link is its own."""
-    label = F.coalesce("component", "doc").alias("label")
-    named = stored(members.join(found, F.col("doc") == F.col("node"), "left").select("key", "doc", label))
+def _open_members(members: DataFrame, found: DataFrame, copies: DataFrame) -> DataFrame:
+    """(key, doc, label) of the keys that hold several components; a set without any link is its own.
+
+    Of equal sets only the smallest id is left; it has the same keys.
+    """
+    marks = found.select(F.col("node").alias("doc"), F.col("component").alias("label"), F.lit(False).alias("copy")).union(
+        copies.select("doc", "rep", F.lit(True))
+    )
+    named = members.join(marks, "doc", "left").filter("copy is null or not copy")
+    named = stored(named.select("key", "doc", F.coalesce("label", "doc").alias("label")))
     several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    return stored(named.join(stored(several.select("key")), "key", "left_semi"))
+    return stored(named.join(stored(several.select("key")), "key", "left_semi").distinct())
 
 
 def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
     """Pairs of sets of one key in different components whose bitmaps allow a link.
 
-    Rows (key, doc, label, n, bits, keys). The sets of a key are dealt into blocks; an equal join on the key brings
-    every two blocks together once, and a task compares the bitmaps of the two. A pair counts under the first key
-    that both sets have.
+    Rows (key, doc, label, n, bits). The sets of a key are dealt into blocks; an equal join on the key brings every two
+    blocks together once, and a task compares the bitmaps of the two.
     """
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     dealt = members.join(counts, "key")
     block = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / BLOCK))
     blocks = stored(
         dealt.groupBy("key", block.alias("block")).agg(
-            F.collect_list(F.struct("doc", "label", "n", "bits", "keys")).alias("sets"),
+            F.collect_list(F.struct("doc", "label", "n", "bits")).alias("sets"),
             F.min("label").alias("low"), F.max("label").alias("high"),
         )
     )
@@ -309,8 +316,7 @@ def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
         for batch in batches:
             found_a, found_b = [], []
             for row in batch.to_pylist():
-                one, two, key = row["sets"], row["sets_2"], row["key"]
-                held = [[frozenset(s["keys"]) for s in part] for part in (one, two)]
+                one, two = row["sets"], row["sets_2"]
                 words = min(len(s["bits"]) for s in one + two) // 8
                 matrix = [np.array([folded(np.frombuffer(s["bits"], np.uint64), words) for s in part]) for part in (one, two)]
                 n, label, doc = (([np.array([s[c] for s in part]) for part in (one, two)]) for c in ("n", "label", "doc"))
@@ -320,14 +326,12 @@ def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
                     only_b = np.bitwise_count(matrix[1] & ~matrix[0][i]).sum(axis=1).astype(np.int64)
                     common = np.minimum(n[0][i] - only_a, n[1] - only_b)
                     for j in np.flatnonzero(ahead & how.linked(common, n[0][i], n[1])):
-                        if min(held[0][i] & held[1][j]) != key:
-                            continue
                         found_a.append(min(int(doc[0][i]), int(doc[1][j])))
                         found_b.append(max(int(doc[0][i]), int(doc[1][j])))
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
     same = (F.col("block") == F.col("block_2")).alias("same")
-    return pairs.select("key", "sets", "sets_2", same).mapInArrow(run, "a long, b long").distinct()
+    return pairs.select("sets", "sets_2", same).mapInArrow(run, "a long, b long").distinct()
 
 
 def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -374,20 +378,19 @@ def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "do
     links = stored(_verified(stars, rows, bits, how))
     found = components(links)
 
-    members = stored(
-        by_class(shared.select("key", "doc").union(shared.select("key", F.col("first").alias("doc"))), "doc").distinct()
-    )
-    # once more with another set of each key that still holds several components, drawn by a hash
-    drawn = _open_members(members, found)
-    pivots = drawn.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc", "key").alias("h"), "doc", "label")).alias("pivot"))
-    again = drawn.join(stored(pivots), "key").filter("label <> pivot.label")
-    again = again.select(F.least("doc", "pivot.doc").alias("a"), F.greatest("doc", "pivot.doc").alias("b")).distinct()
-    links = stored(links.union(_verified(stored(again), rows, bits, how)))
-    found = components(links)
+    members = shared.select("key", "doc").union(shared.filter("first <> doc").select("key", F.col("first").alias("doc")))
+    # again with other sets of each key that still holds several components, drawn by a hash
+    left = _open_members(members, found, copies)
+    for seed in range(ROUNDS):
+        drawn = F.struct(F.xxhash64("doc", "key", F.lit(seed)).alias("h"), "doc", "label")
+        pivots = stored(left.groupBy("key").agg(F.min(drawn).alias("pivot")))
+        again = left.join(pivots, "key").filter("label <> pivot.label")
+        again = again.select(F.least("doc", "pivot.doc").alias("a"), F.greatest("doc", "pivot.doc").alias("b")).distinct()
+        links = stored(links.union(_verified(stored(again), rows, bits, how)))
+        found = components(links)
+        left = _open_members(left.select("key", "doc"), found, copies)
     # all pairs of different components in the keys that are left
-    left = _open_members(members, found)
-    keys = left.groupBy("doc").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    left = left.join(bits, "doc").join(keys, "doc")
+    left = left.join(bits, "doc")
     more = stored(_verified(stored(_tile_pairs(left, how)), rows, bits, how))
     if not more.isEmpty():
         found = components(links.union(more))
