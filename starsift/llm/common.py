@@ -34,9 +34,17 @@ def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
 
 
-def worker_store() -> dict:
-    """A dict of this Python worker process: Spark reuses workers, so loaded vocabularies and memos outlive a task."""
-    return sys.modules.setdefault("starsift_worker_store", types.ModuleType("starsift_worker_store")).__dict__
+def worker_memo(key: tuple, build):
+    """What build() made for `key` in this Python worker: Spark reuses workers, so vocabularies and memos outlive a task.
+
+    A worker keeps one at a time, so that the operators of a pipeline do not add up.
+    """
+    store = sys.modules.setdefault("starsift_worker_store", types.ModuleType("starsift_worker_store")).__dict__
+    if store.get("key") != key:
+        store.pop("memo", None)
+        store["memo"] = build()
+        store["key"] = key
+    return store["memo"]
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], max_rows: int, max_bytes: int) -> Iterator[tuple[list, list]]:

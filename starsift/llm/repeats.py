@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.llm.common import (
-    BLANKS, WordHashes, hashed_words, id_and_bytes, id_and_text, mixed, stored, text_chunks, with_ids, worker_store,
+    BLANKS, WordHashes, hashed_words, id_and_bytes, id_and_text, mixed, stored, text_chunks, with_ids, worker_memo,
 )
 
 #: Rows and bytes of text a task compares with itself before anything is shuffled.
@@ -54,7 +54,7 @@ def places(begins: np.ndarray, width: int, least: int) -> tuple[np.ndarray, np.n
 
 
 def _memo() -> WordHashes:
-    return worker_store().setdefault("word hashes", WordHashes())
+    return worker_memo(("word hashes",), WordHashes)
 
 
 def _words(texts: list[bytes | None]) -> list[list[bytes]]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starsift.llm.bpe import BYTE_LEVEL_PATTERN, Vocabulary, merge_pairs
-from starsift.llm.common import id_and_bytes, text_chunks, worker_store
+from starsift.llm.common import id_and_bytes, text_chunks, worker_memo
 
 #: Remembered strings in a worker; a full memo is emptied, which costs time only.
 MEMO = 800_000
@@ -81,12 +81,11 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
 
     def run(batches):
-        store = worker_store()
-        key = ("pair counters", tokenizer_path)
-        if key not in store:
+        def build():
             vocabulary = Vocabulary(tokenizer_path)
-            store[key] = PairCounter(vocabulary, False), PairCounter(vocabulary, True)
-        first, rest = store[key]
+            return PairCounter(vocabulary, False), PairCounter(vocabulary, True)
+
+        first, rest = worker_memo(("pair counters", tokenizer_path), build)
         for ids, texts in text_chunks(batches, 5_000, 32 << 20):
             counts = [count_text(t.decode(), first, rest) if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.llm.bpe import Vocabulary, run_words
-from starsift.llm.common import id_and_bytes, text_chunks, worker_store
+from starsift.llm.common import id_and_bytes, text_chunks, worker_memo
 
 #: Ids in a block; a longer document makes a block of its own.
 BLOCK_IDS = 1 << 20
@@ -154,11 +154,7 @@ def token_blocks(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        store = worker_store()
-        key = ("library runs", tokenizer_path)
-        if key not in store:
-            store[key] = LibraryRuns(tokenizer_path, width)
-        runs = store[key]
+        runs = worker_memo(("library runs", tokenizer_path), lambda: LibraryRuns(tokenizer_path, width))
         specials = tuple(s.encode() for s in runs.vocabulary.special)
         end = np.array([end_id], width).tobytes()
         size = len(end)
