@@ -30,6 +30,8 @@ FOLDS = 3
 ABOVE_NONE = 1.5
 #: Letters of the word beginnings that are features beside whole words, so that inflected words count together.
 STEMS = (4, 5, 6)
+#: Evidence counts as dense where it stands at least so often and on so many of the runs without blanks.
+DENSE_TIMES, DENSE_SHARE = 2, 1 / 200
 LETTERS = re.compile(r"[^\W\d_]+")
 MEMO = 500_000
 
@@ -97,8 +99,35 @@ def features(word: str) -> list[str]:
     return [word, *[word[:k] + "*" for k in STEMS if len(word) > k]]
 
 
-def distinct_features(words: list[str]) -> set[str]:
-    return {f for w in set(words) for f in features(w)}
+def features_of_run(run: bytes) -> list[str]:
+    """Features of all words in a run without blanks."""
+    return [f for w in LETTERS.findall(run.decode().lower()) for f in features(w)]
+
+
+def broader(feature: str) -> list[str]:
+    """Features that a text with this one holds as well."""
+    base = feature.rstrip("+")
+    word = base.rstrip("*")
+    begins = [word[:k] + "*" for k in STEMS if k < len(word)]
+    if base == feature:
+        return begins
+    return [base, *begins, *[s + "+" for s in begins]]
+
+
+def least_dense(runs: int) -> float:
+    """Times from which a feature is dense in a text of so many runs."""
+    return max(DENSE_TIMES, DENSE_SHARE * runs)
+
+
+def held_features(text: bytes) -> set[str]:
+    """All features of a text; those that are dense also with a plus."""
+    runs = text.split()
+    times: Counter = Counter()
+    for run, n in Counter(runs).items():
+        for f in features_of_run(run):
+            times[f] += n
+    least = least_dense(len(runs))
+    return times.keys() | {f + "+" for f, n in times.items() if n >= least}
 
 
 def best_cut(p: np.ndarray, toxic: np.ndarray) -> float:
@@ -120,8 +149,8 @@ def fit_severity(
 ) -> SeverityModel:
     """A model from 0 / 1 labels, fitted on at most `sample_rows` labelled documents (the first by a hash of the id).
 
-    Evidence: the `vocabulary` words and word beginnings whose presence speaks most for toxicity (chi-square), counted by
-    Spark over the sample; a word whose beginning is as clear evidence is left out. Grades of toxic documents are thirds of how dense the words that
+    Evidence: the `vocabulary` words and word beginnings whose presence, or whose dense presence, speaks most for toxicity
+    (chi-square), counted by Spark over the sample; a word whose beginning is as clear evidence is left out. Grades of toxic documents are thirds of how dense the words that
     speak for toxicity stand in them; documents that are not toxic have grade 0. Without usable labels the model has
     no words and calls nothing toxic. Null labels and null ids are left out; of repeated labels the highest counts.
     """
@@ -140,7 +169,7 @@ def fit_severity(
         for batch in batches:
             seen: list[Counter] = [Counter(), Counter()]
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                seen[toxic > 0].update(distinct_features(LETTERS.findall(text.decode().lower())))
+                seen[toxic > 0].update(held_features(text))
             names = list(seen[0] | seen[1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), *[pa.array([seen[k][f] for f in names], pa.int64()) for k in (1, 0)]], names=["word", "a", "b"]
@@ -162,23 +191,19 @@ def fit_severity(
     top = top.filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), F.length("word"), "word")
     chosen: dict = {}
     for r in top.limit(CANDIDATES * vocabulary).collect():
-        stems = [chosen[s] for k in range(min(STEMS), len(r.word)) if (s := r.word[:k] + "*") in chosen]
+        stems = [chosen[s] for s in broader(r.word) if s in chosen]
         if len(chosen) < vocabulary and not any(t.a / (t.a + t.b) >= r.a / (r.a + r.b) - 0.02 for t in stems):
             chosen[r.word] = r
     words = list(chosen)
     place = {w: i for i, w in enumerate(words)}
 
     def marks_of(batches):
+        held_by = evidence(words)
         for batch in batches:
-            rows = []
-            for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                all_words = LETTERS.findall(text.decode().lower())
-                held = sorted({place[f] for f in distinct_features(all_words) if f in place})
-                strong = sum(not place.keys().isdisjoint(features(w)) for w in all_words)
-                rows.append((held, strong / max(1, len(all_words)), toxic))
+            found = [held_by(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.float64()),
-                 pa.array([r[2] for r in rows], pa.int32())],
+                [batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.float64()),
+                 batch.column(2)],
                 names=["doc_id", "held", "density", "toxic"],
             )
 
@@ -206,32 +231,53 @@ def fit_severity(
     return model
 
 
-class _Evidence(dict):
-    """Memo from a run without blanks to the places of vocabulary words in it."""
+class _Places(dict):
+    """Memo from a run without blanks to the places of the features in it, whether or not they must be dense."""
 
     def __init__(self, place: dict[str, int]):
         super().__init__()
         self.place = place
 
     def __missing__(self, run: bytes):
-        out = tuple(self.place[f] for w in LETTERS.findall(run.decode().lower()) for f in features(w) if f in self.place)
+        named = features_of_run(run)
+        out = tuple(p for f in [*named, *[f + "+" for f in named]] if (p := self.place.get(f)) is not None)
         if len(self) >= MEMO:
             self.clear()
         self[run] = out
         return out
 
 
+def evidence(words: list[str]):
+    """A function from a byte text to the sorted places of the vocabulary it holds, and the share of runs that hold any."""
+    places = _Places({w: i for i, w in enumerate(words)})
+    must_be_dense = [w.endswith("+") for w in words]
+
+    def held_by(text: bytes) -> tuple[list[int], float]:
+        runs = text.split()
+        least = least_dense(len(runs))
+        times: Counter = Counter()
+        spoken = []
+        for run, n in Counter(runs).items():
+            if at := places[run]:
+                spoken.append((at, n))
+                for p in at:
+                    times[p] += n
+        held = {p for p, n in times.items() if not must_be_dense[p] or n >= least}
+        strong = sum(n for at, n in spoken if not held.isdisjoint(at))
+        return sorted(held), strong / max(1, len(runs))
+
+    return held_by
+
+
 def scorer(model: SeverityModel):
     """A function from byte texts to the probabilities of being above each grade, and to whether each is toxic."""
-    memo = _Evidence({w: i for i, w in enumerate(model.words)})
+    held_by = evidence(model.words)
 
     def score(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         scores = np.zeros(len(texts))
         for i, text in enumerate(texts):
-            if text:
-                held = set().union(*filter(None, map(memo.__getitem__, set(text.split()))))
-                if held:
-                    scores[i] = model.weights[sorted(held)].sum()
+            if text and (held := held_by(text)[0]):
+                scores[i] = model.weights[held].sum()
         above = model.above(scores)
         known = np.array([bool(t) for t in texts], bool)
         return above, known & (above[:, 0] >= model.cut) & (len(model.words) > 0)
