@@ -312,7 +312,7 @@ def _catalogue(t: Tables):
 
 def _classifier(t: Tables):
     parts = stratified_split(_titles(t), ["doc_id"], ["label"], {"train": 0.8, "test": 0.2})
-    return M.train_title_classifier(parts.where(F.col("split") == "train"), max_iter=50), parts
+    return M.train_title_classifier(parts.where(F.col("split") == "train")), parts
 
 
 @query("m01_train_title_classifier")
@@ -360,7 +360,7 @@ def _trained(t: Tables):
     weights = {
         classes[r["idx"]]: r["pos_weight"] for r in L.positive_weights(frame).toLocalIterator()
     }
-    return M.train_aspect_model(frame, classes, weights, max_iter=10), frame
+    return M.train_aspect_model(frame, classes, weights), frame
 
 
 @query("m04_aspect_probabilities")
@@ -374,7 +374,7 @@ def _(t: Tables):
 
 def _sentiment(t: Tables):
     triples = L.sentiment_triples(L.with_pairs(t.sentences))
-    return M.train_sentiment_model(triples, L.class_weights(triples), max_iter=10), triples
+    return M.train_sentiment_model(triples, L.class_weights(triples)), triples
 
 
 @query("m05_aspect_sentiment")

@@ -205,13 +205,8 @@ class Tables:
         return self._tables[name]
 
     def texts(self, name: str) -> DataFrame:
-        """A table of long texts, spread over the cores where its files give too few tasks.
-
-        A large table has more splits than cores and is left as it is.
-        """
-        df = self.read(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        """A table of long texts; the session's file split size decides its tasks."""
+        return self.read(name)
 
     @cached_property
     def products(self) -> DataFrame:

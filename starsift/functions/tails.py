@@ -7,6 +7,7 @@ per product), never on the reviews themselves.
 from __future__ import annotations
 
 import math
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TINY = 1e-300
-_MAX_TERMS = 10_000
+#: From these degrees of freedom on, the t tail is a normal tail at a corrected point.
+_LARGE_DOF = 1e5
 
 
 def _each(f, *values) -> np.ndarray:
@@ -36,7 +38,7 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     c = np.ones_like(x)
     d = 1.0 / _nonzero(1.0 - (a + b) * x / (a + 1.0))
     h = d.copy()
-    for m in range(1, _MAX_TERMS):
+    for m in count(1):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         for term in (even, odd):
@@ -56,11 +58,21 @@ def _half_step(a: float) -> float:
     return math.lgamma(a + 0.5) - math.lgamma(a)
 
 
+def _normal_point(t: np.ndarray, dof: np.ndarray) -> np.ndarray:
+    """Where the normal law has the tail that t has with many degrees of freedom (Hill 1970, three terms)."""
+    a = dof - 0.5
+    w = np.where(np.isinf(dof), np.abs(t), np.sqrt(np.where(np.isinf(dof), 1.0, a) * np.log1p(t * t / dof)))
+    b = 48 * a * a
+    third = (4 * w**7 + 33 * w**5 + 240 * w**3 + 855 * w) / (10 * b * (b + 0.8 * w**4 + 100))
+    return w + (w**3 + 3 * w) / b - np.where(np.isinf(b), 0.0, third)
+
+
 def t_two_sided(t, dof) -> np.ndarray:
     """P(|T| > |t|) with `dof` degrees of freedom; infinite t gives 0, undefined t stays undefined.
 
     The tail is the regularised incomplete beta function of (dof/2, 1/2) at
-    dof / (dof + t^2).
+    dof / (dof + t^2); its fraction runs until it converges, and large counts
+    take the normal law, where it would converge slowly.
     """
     t, dof = (np.array(v, dtype=float, ndmin=1) for v in np.broadcast_arrays(t, dof))
     if not t.size:
@@ -68,7 +80,9 @@ def t_two_sided(t, dof) -> np.ndarray:
     defined = ~np.isnan(t) & ~np.isnan(dof) & (dof > 0)
     usable = defined & ~np.isinf(t) & (t != 0)
     squared = np.where(usable, t, 1.0) ** 2
-    n = np.where(defined, dof, 1.0)
+    large = usable & (dof >= _LARGE_DOF)
+    n = np.where(defined & ~large, dof, 1.0)
+    squared = np.where(large, 1.0, squared)
     x, y = n / (n + squared), squared / (n + squared)
     a = n / 2.0
     front = np.exp(
@@ -82,6 +96,8 @@ def t_two_sided(t, dof) -> np.ndarray:
         / np.where(low, a, half)
     )
     p = np.where(low, part, 1.0 - part)
+    if large.any():
+        p[large] = 2 * normal_upper(_normal_point(t[large], dof[large]))
     p = np.where(np.isinf(t), 0.0, np.where(t == 0, 1.0, p))
     return np.where(defined, p, np.nan)
 
@@ -101,7 +117,7 @@ def _gamma_fraction(a: float, x: float) -> float:
     c = 1.0 / _TINY
     d = 1.0 / b
     h = d
-    for i in range(1, _MAX_TERMS):
+    for i in count(1):
         an = -i * (i - a)
         b += 2.0
         d = an * d + b
@@ -120,6 +136,8 @@ def _chi_square_upper(x: float, dof: float) -> float:
         return math.nan
     if x <= 0:
         return 1.0
+    if math.isinf(x):
+        return 0.0
     a, half = dof / 2.0, x / 2.0
     return 1.0 - _gamma_series(a, half) if half < a + 1.0 else _gamma_fraction(a, half)
 

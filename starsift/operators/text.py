@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,10 @@ from starsift.operators.dedupe import broadcast_if_small, drop_same_text, first_
 
 UNKNOWN_LANGUAGE = "unknown"
 GRAM = r"(?s)(?=(...))"
-PROFILE_SIZE = 1000
+#: Pieces of a language below this rate are left out of its profile; so a profile holds at most a million pieces.
+LEAST_PER_MILLION = 1.0
+#: Characters of text scored at once.
+SCORED_CHARS = 1 << 20
 NEEDLE_BYTES = 8_000_000
 
 # Published constants of the rule-based sentiment score (Hutto and Gilbert 2014).
@@ -72,26 +75,21 @@ def _grams(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
 
 
 def language_profiles(
-    labelled: DataFrame, text: str, lang: str, size: int = PROFILE_SIZE
+    labelled: DataFrame, text: str, lang: str, least_per_million: float = LEAST_PER_MILLION
 ) -> DataFrame:
-    """The most frequent pieces of each language and their weight over an unseen piece.
+    """Every piece of each language that is frequent enough, and its weight over an unseen piece.
 
-    At most `size` rows per language. The weight is ln(1 + count per million
-    pieces), so a piece outside the profile weighs nothing.
+    At most 1,000,000 / `least_per_million` rows per language, as rates sum to a
+    million. The weight is ln(1 + count per million pieces), so a piece outside
+    the profile weighs nothing.
     """
     counts = _grams(labelled, [lang], text).groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
-    # the group limit below the shuffle keeps `size` rows per language and task
-    top = Window.partitionBy(lang).orderBy(F.desc("n"), "gram")
+    rate = F.col("n") * F.lit(1e6) / F.col("total")
     return (
-        counts.withColumn("_rn", F.row_number().over(top))
-        .where(F.col("_rn") <= size)
-        .join(totals, lang)
-        .select(
-            F.col(lang).alias("profile_lang"),
-            "gram",
-            F.log1p(F.col("n") * F.lit(1e6) / F.col("total")).alias("weight"),
-        )
+        counts.join(totals, lang)
+        .where(rate >= least_per_million)
+        .select(F.col(lang).alias("profile_lang"), "gram", F.log1p(rate).alias("weight"))
     )
 
 
@@ -104,7 +102,7 @@ def _gram_codes(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Profiles in array form: at most PROFILE_SIZE pieces per language."""
+    """Profiles in array form; their size is bounded by the least rate of a piece."""
 
     languages: list[str]
     codes: np.ndarray
@@ -115,23 +113,26 @@ class LanguageModel:
         rows = [(r["profile_lang"], r["gram"], r["weight"]) for r in profiles.toLocalIterator()]
         languages = sorted({lang for lang, _, _ in rows})
         codes = np.array(sorted({_gram_codes(g)[0] for _, g, _ in rows}), dtype=np.uint64)
-        weights = np.zeros((len(codes) + 1, len(languages)))
+        weights = np.zeros((len(codes), len(languages)))
         for lang, gram, weight in rows:
             weights[np.searchsorted(codes, _gram_codes(gram)[0]), languages.index(lang)] = weight
         return LanguageModel(languages, codes, weights)
 
-    def best(self, text: str) -> str:
-        """The language with the largest sum of weights over the whole text."""
-        if not text or len(text) < 3 or not len(self.codes):
-            return UNKNOWN_LANGUAGE
-        grams = _gram_codes(text)
-        at = np.searchsorted(self.codes, grams)
-        known = (at < len(self.codes)) & (self.codes[np.minimum(at, len(self.codes) - 1)] == grams)
-        counts = np.bincount(at[known], minlength=len(self.codes) + 1)
-        scores = np.round(counts @ self.weights, 6)
-        if not scores.any():
-            return UNKNOWN_LANGUAGE
-        return max(zip(scores, self.languages))[1]
+    def best(self, texts: Sequence[str]) -> list[str]:
+        """For each text the language with the largest sum of weights over the whole text."""
+        pieces = [_gram_codes(t) for t in texts]
+        grams = np.concatenate([np.zeros(0, np.uint64), *pieces])
+        if not len(grams) or not len(self.codes):
+            return [UNKNOWN_LANGUAGE] * len(texts)
+        owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+        at = np.minimum(np.searchsorted(self.codes, grams), len(self.codes) - 1)
+        known = self.codes[at] == grams
+        at, owner = at[known], owner[known]
+        # of equal scores the last language wins, so they stand in reverse
+        order = range(len(self.languages) - 1, -1, -1)
+        scores = np.stack([np.bincount(owner, self.weights[at, k], len(pieces)) for k in order], axis=1).round(6)
+        names = [self.languages[k] for k in order]
+        return [names[k] if any_ else UNKNOWN_LANGUAGE for k, any_ in zip(scores.argmax(axis=1), scores.any(axis=1))]
 
 
 def language_of(text: Column, model: LanguageModel) -> Column:
@@ -143,7 +144,10 @@ def language_of(text: Column, model: LanguageModel) -> Column:
 
     @F.pandas_udf(T.StringType())
     def score(texts: pd.Series) -> pd.Series:
-        return texts.map(model.best, na_action="ignore")
+        held = texts.dropna()
+        piece = held.str.len().cumsum() // SCORED_CHARS
+        found = [pd.Series(model.best(part.tolist()), part.index) for _, part in held.groupby(piece)]
+        return pd.concat([pd.Series(dtype=object), *found]).reindex(texts.index)
 
     usable = (F.length(strip_spaces(text)) >= 3) & text.rlike("[a-zA-Z]")
     return F.coalesce(score(F.when(usable, F.lower(text))), F.lit(UNKNOWN_LANGUAGE))

@@ -27,6 +27,16 @@ def test_t_tail_closed_forms():
 def test_t_tail_large_counts():
     z = np.array([0.3, 1.5, 4.0])
     assert tails.t_two_sided(z, 1e9) == pytest.approx(2 * tails.normal_upper(z), rel=1e-6)
+    assert tails.t_two_sided([1.9], [1e12]) == pytest.approx(2 * tails.normal_upper([1.9]), abs=1e-9)
+    assert tails.t_two_sided(z, math.inf) == pytest.approx(2 * tails.normal_upper(z), rel=1e-15)
+    below, above = tails.t_two_sided(z, 99_999.999), tails.t_two_sided(z, 100_000.0)
+    assert below == pytest.approx(above, rel=1e-9)
+
+
+def test_tails_run_to_convergence():
+    # at its mean a chi-square law of many degrees has a tail near one half
+    assert tails.chi_square_upper([1e9 + 2], [1e9]) == pytest.approx([0.5], abs=1e-4)
+    assert tails.chi_square_upper([math.inf], [3]) == pytest.approx([0.0])
 
 
 def test_chi_square_tail():
