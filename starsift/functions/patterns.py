@@ -108,7 +108,6 @@ UNUSED_REVIEW_COLUMNS = ("timestamp", "pred_label", "rn")
 
 LENGTH_EDGES = (0, 100, 300, 600, 1000, 99999)
 LENGTH_LABELS = ("<100", "100-300", "300-600", "600-1000", ">1000")
-POPULARITY_LABELS = ("Low\n(few reviews)", "Mid", "High\n(many reviews)")
 QUARTILE_LABELS = ("Q1 (Budget)", "Q2 (Low-Mid)", "Q3 (High-Mid)", "Q4 (Premium)")
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
