@@ -47,20 +47,26 @@ def worker_memo(key: tuple, build):
     return store["memo"]
 
 
+#: Rows of a batch that are turned into Python objects at once; a batch may hold long texts.
+SLICE_ROWS = 64
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], max_rows: int, max_bytes: int) -> Iterator[tuple[list, list]]:
     """(ids, byte texts) of a task in pieces of bounded rows and bytes; one longer text makes a piece of its own."""
     ids: list = []
     texts: list = []
     held = 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            size = len(text) if text else 0
-            if ids and (len(ids) >= max_rows or held + size > max_bytes):
-                yield ids, texts
-                ids, texts, held = [], [], 0
-            ids.append(doc_id)
-            texts.append(text)
-            held += size
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(at, SLICE_ROWS)
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                size = len(text) if text else 0
+                if ids and (len(ids) >= max_rows or held + size > max_bytes):
+                    yield ids, texts
+                    ids, texts, held = [], [], 0
+                ids.append(doc_id)
+                texts.append(text)
+                held += size
     if ids:
         yield ids, texts
 
