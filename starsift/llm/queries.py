@@ -29,7 +29,7 @@ def tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked_groups(read_table(spark, sf_dir, "documents"), Likeness(words=3, percent=90))
+    return linked_groups(read_table(spark, sf_dir, "documents"), Likeness(words=3, percent=90), count_links=True)
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

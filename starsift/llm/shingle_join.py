@@ -26,6 +26,8 @@ PIECE_ROWS, PIECE_BYTES = 4_000, 8 << 20
 BLOCK = 128
 #: Times that sets are verified against a drawn set of each open key before all its blocks meet.
 ROUNDS = 2
+#: Shingles of the sets in a block, about, and columns of a matrix product, where links are counted.
+BLOCK_SHINGLES, COLUMNS = 1 << 18, 4096
 #: Parts beyond the least number, as a share of H: they let parts of few shingles go unused.
 SPARE = 0.18
 
@@ -334,7 +336,90 @@ def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
     return pairs.select("sets", "sets_2", same).mapInArrow(run, "a long, b long").distinct()
 
 
-def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Common shingles of every set on the left with every set on the right, as products of 0/1 matrices."""
+    flat = [np.concatenate(side) for side in (left, right)]
+    owner = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)]
+    both = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, len(both), COLUMNS):
+        cut = both[at : at + COLUMNS]
+        ones = []
+        for items, who, n in zip(flat, owner, out.shape, strict=True):
+            column = np.minimum(np.searchsorted(cut, items), len(cut) - 1)
+            there = cut[column] == items
+            ones.append(np.zeros((n, len(cut)), np.float32))
+            ones[-1][who[there], column[there]] = 1
+        out += (ones[0] @ ones[1].T).astype(np.int64)
+    return out
+
+
+def _link_counts(rows: DataFrame, classes: DataFrame, found: DataFrame, how: Likeness) -> DataFrame:
+    """(doc, links): documents outside the class of `doc` whose sets link with its set, for the classes of components.
+
+    Linked sets are in one component and in the same band of sizes or the next. The classes of a component and band are
+    dealt into blocks; each two blocks that can hold links meet once, in a group of their own, and every pair of their
+    classes is intersected there. A class counts with the ids it holds, so neither copies nor pairs become rows.
+    """
+    edges = F.array(*[F.lit(e).cast("long") for e in how.edges])
+    plan = classes.select(F.col("rep").alias("doc"), F.col("n_shingles").alias("n"), "ids").join(
+        found.select(F.col("node").alias("doc"), "component"), "doc"
+    )
+    plan = stored(plan.withColumn("band", F.size(F.filter(edges, lambda e: e <= F.col("n")))))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    bands = stored(plan.groupBy("component", "band").agg(F.count(F.lit(1)).alias("members"), blocks.alias("blocks")))
+    around = bands
+    for step, name in ((1, "above"), (-1, "below")):
+        other = bands.select("component", (F.col("band") - step).alias("band"), F.col("blocks").alias(name))
+        around = around.join(other, ["component", "band"], "left")
+    plan = plan.join(around, ["component", "band"]).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    # groups (low band, block in it, step to the other band, block there), and the side of the class in it
+    meets = """concat(
+        if(members > 1, transform(sequence(0, blocks - 1), j -> named_struct('low', band, 'i', least(block, j), 'step', 0,
+            'j', greatest(block, j), 'side', if(block <= j, 0, 1))), array()),
+        if(above is not null, transform(sequence(0, above - 1), j -> named_struct('low', band, 'i', block, 'step', 1, 'j', j, 'side', 0)), array()),
+        if(below is not null, transform(sequence(0, below - 1), j -> named_struct('low', band - 1, 'i', j, 'step', 1, 'j', block, 'side', 1)), array()))"""
+    plan = stored(plan.select("doc", "ids", "component", F.expr(meets).alias("meets")).filter("size(meets) > 0"))
+
+    def sets(batches):
+        for doc_ids, texts in text_chunks(batches, PIECE_ROWS, PIECE_BYTES):
+            items = [s.tobytes() for s in shingle_sets(texts, how, _memo())]
+            for at in range(0, len(items), BLOCK):
+                cut = slice(at, at + BLOCK)
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids[cut], pa.int64()), pa.array(items[cut], pa.binary())], names=["doc", "items"])
+
+    def run(table: pa.Table) -> pa.Table:
+        doc, ids, side = (table.column(c).to_numpy() for c in ("doc", "ids", "side"))
+        items = [np.frombuffer(b, np.uint64) for b in table.column("items").to_pylist()]
+        own = table.column("step")[0].as_py() == 0 and table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        one = np.flatnonzero(side == 0)
+        two = one if own else np.flatnonzero(side == 1)
+        links = np.zeros(len(doc), np.int64)
+        if len(one) and len(two):
+            n = np.array([len(s) for s in items], np.int64)
+            common = common_counts([items[i] for i in one], [items[i] for i in two])
+            linked = (common > 0) & how.linked(common, n[one][:, None], n[two][None, :])
+            if own:
+                np.fill_diagonal(linked, False)
+            else:
+                links[two] = ids[one] @ linked
+            links[one] = linked @ ids[two]
+        some = links > 0
+        return pa.table({"doc": pa.array(doc[some]), "links": pa.array(links[some])})
+
+    wanted = plan.select(F.col("doc").alias("doc_id")).distinct()
+    texts = with_ids(rows, wanted)
+    if not rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id"])
+    met = texts.mapInArrow(sets, "doc long, items binary").join(plan, "doc")
+    met = met.select("doc", "ids", "component", "items", F.inline("meets"))
+    counted = met.groupBy("component", "low", "i", "step", "j").applyInArrow(run, "doc long, links long")
+    return counted.groupBy("doc").agg(F.sum("links").alias("links"))
+
+
+def linked_groups(
+    docs: DataFrame, how: Likeness = Likeness(), id_col: str = "doc_id", text_col: str = "text", count_links: bool = False
+) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the smallest id reachable over links, its own included.
 
     Words are runs without ASCII blanks, A-Z in lower case. A text of fewer words than a shingle is one shingle; null,
@@ -346,14 +431,18 @@ def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "do
     and components are taken. Then only keys that still hold several components are left; there all blocks of sets
     meet, and pairs of different components that the bitmaps allow are verified. So all links that matter for
     the components are found, while a group of near copies costs about its size.
+
+    With count_links there is also n_links: the number of other documents whose sets link with the row's. For that all
+    classes of a component are compared, so a group costs the square of its different sets in work, not in rows.
     """
     rows = id_and_bytes(docs, id_col, text_col)
     table = stored(_set_table(rows, how))
     named = table.filter("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("held"))
+    classes = named.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("held"), F.count_distinct("doc_id").alias("ids"))
+    classes = stored(classes) if count_links else classes.drop("ids")
     several = stored(classes.filter("held > 1").drop("held"))
     copies = stored(
-        named.join(several, ["d1", "d2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("doc"), "rep").distinct()
+        named.join(several.select("d1", "d2", "n_shingles", "rep"), ["d1", "d2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("doc"), "rep").distinct()
     )
 
     met = _meetings(rows, how)
@@ -395,11 +484,18 @@ def linked_groups(docs: DataFrame, how: Likeness = Likeness(), id_col: str = "do
     if not more.isEmpty():
         found = components(links.union(more))
 
+    columns = []
+    if count_links:
+        found = stored(found)
+        counted = _link_counts(rows, classes, found, how)
+        found = found.join(counted, F.col("node") == F.col("doc"), "left").drop("doc")
+        links = F.coalesce("links", F.lit(0)) + F.coalesce("ids", F.lit(1)) - 1
+        columns = [F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), links).otherwise(0).alias("n_links")]
     out = table.join(several, ["d1", "d2", "n_shingles"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id"))
     linked = F.when(F.col("n_shingles") > 0, F.coalesce("component", "own")).otherwise(F.col("doc_id"))
     return (
         out.withColumn("own", own)
         .join(found, F.col("own") == F.col("node"), "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), linked).alias("component_id"))
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), linked).alias("component_id"), *columns)
     )

@@ -9,12 +9,13 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
-from brute import detections, licences, linked, repeats
+from brute import detections, licences, linked, repeats, shingles
 from compare import compare, connect
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starsift.llm import queries as Q
+from starsift.llm import shingle_join
 from starsift.llm.bpe import Vocabulary, merge_pairs, merge_short
 from starsift.llm.components import components
 from starsift.llm.content_sort import exact_groups, first_of_groups, range_of, splitters_of
@@ -150,6 +151,29 @@ def test_shingle_join_repeated_rows_and_null_ids(doubled, docs):
     assert all(r.component_id == (once[r.doc_id].component_id if r.doc_id is not None else None) for r in got)
 
 
+def test_shingle_join_counts_every_link(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    given = {}
+    for i in range(160):
+        words = base[: rng.choice((60, 75, 90))]
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        given[i] = " ".join(words)
+    given |= {200: given[3], 201: given[3], 202: "alone here", 203: None, 204: "", 205: "short", 206: "short"}
+    frame = spark.createDataFrame(list(given.items()), "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(shingle_join, "BLOCK", 16)
+    sets = {i: shingles(t, 3) for i, t in given.items()}
+    links = {i: 0 for i in given}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            links[i] += i != j and bool(a & b) and 10 * len(a & b) >= 9 * len(a | b)
+    got = linked_groups(frame.union(frame), Likeness(3, 90), count_links=True).collect()
+    assert len(got) == 2 * len(given) and max(links.values()) > 16
+    groups = linked(given, 3, 90)[1]
+    assert all((r.n_links, r.component_id) == (links[r.doc_id], groups[r.doc_id]) for r in got)
+
+
 def test_parts_lose_no_link():
     rng = np.random.default_rng(1)
     for percent in (80, 90):
