@@ -18,7 +18,7 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A text without any of these words has no keyword of any rule.
 GATE = (
-    r"(?i)licen[cs]|copyright|permission|redistribut|spdx|domain|\bcc\b|cc0|creative|rights|wtfpl|warrant|software"
+    r"(?i)licen[cs]|copyright|permission|redistribut|spdx|domain|(?<![0-9a-z])cc(?![0-9a-z])|cc0|creative|rights|wtfpl|warrant|software"
     r"|advertis|contributor|fuck|beer|evil|perl|confidential|restriction|complian|[a-z]v[0-9]"
 )
 BASE_WEIGHT = 0.9

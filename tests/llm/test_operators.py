@@ -238,6 +238,15 @@ def test_licence_gate_lets_every_rule_through():
     assert all(re.search(GATE, pattern.replace("[cs]", "c")) for _, _, pattern, _ in rules())
 
 
+def test_licence_gate_takes_underscores_for_blanks(spark):
+    texts = ["photo by Ann, cc_by_sa_4.0", "CC_BY 4.0", "img_cc-by-sa_4.0.png", "_CC_", "photo by Ann, cc by sa 4.0", "accept cc1 xcc", "écc_by 4.0"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows_of(summary(scan_licences(frame)))
+    for i, t in enumerate(texts):
+        assert set(filter(None, got[i].labels.split(","))) == detections(t, rules()), t
+    assert (got[0].labels, got[0].score) == (got[4].labels, got[4].score) and got[0].score == 0.9
+
+
 def test_long_licence_text_in_time_of_its_length(spark):
     frame = spark.createDataFrame([(1, "released under the MIT license. " * 20_000)], "doc_id long, text string")
     r = summary(scan_licences(frame)).first()
