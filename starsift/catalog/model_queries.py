@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from starsift.operators import labels as L
 from starsift.operators import metrics as E
 from starsift.operators import models as M
 from starsift.operators.splits import stratified_split
-from starsift.session import cut_lineage
+from starsift.session import cut_lineage, shared_folder
+from starsift.sources.writers import read_thresholds, save_thresholds
 
 
 # --- M8-M13 -------------------------------------------------------------------------
@@ -215,6 +218,63 @@ def _(t: Tables):
     return head.unionAll(aspects).withColumn("threshold", F.round("threshold", 4))
 
 
+def _grid_as(name: str, values) -> str:
+    return name + _grid(values)[4:]
+
+
+# The second head is scored on related rows: whether the text is English, by a repeatable probability.
+VAL = (
+    SC,
+    """rk AS (SELECT doc_id, row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || doc_id)) AS r,
+      count(*) OVER (PARTITION BY quality) AS size FROM labels)""",
+    """val AS (SELECT sc.*, (doc_id * 53 % 100) / 100e0 AS p2, CAST(aspect = 'en' AS INTEGER) AS y2 FROM sc JOIN rk USING (doc_id)
+      WHERE r > floor(0.7e0 * size + 0.5e0) AND r <= floor(0.85e0 * size + 0.5e0))""",
+)
+
+
+def tuned_thresholds(val):
+    """(head, class, threshold) of the two heads, every aspect and the sentiment confidence."""
+    parts = [
+        ("h1", F.lit(""), E.tune_head(val, "y", "p")),
+        ("h2", F.lit(""), E.tune_head(val.where("y = 1"), "y2", "p2")),
+        ("h3", F.col("aspect"), E.tune_aspects(val, "aspect", "y", "p")),
+        ("m2", F.lit(""), E.tune_confidence(val, "y", "z", "conf")),
+    ]
+    out = [df.select(F.lit(head).alias("head"), c.alias("class"), "threshold") for head, c, df in parts]
+    return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])
+
+
+def stored_thresholds(t: Tables):
+    """Tuned on the validation rows, written to the shared folder and read back."""
+    parts = stratified_split(t.read("labels").select("doc_id", "quality"), ["doc_id"], ["quality"], L.SHARES)
+    val = t.scored.join(parts.where(F.col("split") == "val").select("doc_id"), "doc_id", "left_semi")
+    val = val.withColumns({"p2": (F.col("doc_id") * 53 % 100) / 100, "y2": (F.col("aspect") == "en").cast("int")})
+    target = f"{shared_folder(t.spark).rstrip('/')}/thresholds-{uuid.uuid4().hex}"
+    save_thresholds(tuned_thresholds(cut_lineage(val)), target)
+    return read_thresholds(t.spark, target)
+
+
+@query(
+    "a11_stored_thresholds",
+    ctes(*VAL, _grid(E.HEAD_GRID), _grid_as("agrid", E.ASPECT_GRID), _grid_as("mgrid", E.CONFIDENCE_GRID),
+         f"c1 AS (SELECT i, threshold, {_counts('y', 'p >= threshold')} FROM val, grid GROUP BY 1, 2)",
+         f"s1 AS (SELECT *, {_macro(2.0)} AS f_beta FROM c1)",
+         f"c2 AS (SELECT i, threshold, {_counts('y2', 'p2 >= threshold')} FROM val, grid WHERE y = 1 GROUP BY 1, 2)",
+         f"s2 AS (SELECT *, {_macro(2.0)} AS f_beta FROM c2)",
+         f"c3 AS (SELECT aspect, i, threshold, {_counts('y', 'p >= threshold')} FROM val, agrid GROUP BY 1, 2, 3)",
+         f"s3 AS (SELECT *, {_f('tp', 'fp', 'fn')} AS f1 FROM c3)",
+         f"c4 AS (SELECT i, threshold, count(*) FILTER (conf >= threshold) AS n, {_counts('y', 'z = 1', 'conf >= threshold')} FROM val, mgrid GROUP BY 1, 2)",
+         f"s4 AS (SELECT *, {_macro()} AS f1_macro FROM c4 WHERE n >= 10)")
+    + f"""SELECT 'h1' AS head, '' AS "class", threshold FROM ({_first_best('f_beta', '', 0.5, 's1')}) UNION ALL
+      SELECT 'h2', '', threshold FROM ({_first_best('f_beta', '', 0.5, 's2')}) UNION ALL
+      SELECT 'h3', aspect, threshold FROM ({_first_best('f1', 'aspect', 0.5, 's3')}) UNION ALL
+      SELECT 'm2', '', threshold FROM ({_first_best('f1_macro', '', 0.65, 's4')})""",
+)
+def _(t: Tables):
+    # stored as tuned: a rounded cut can fall on the other side of a probability
+    return stored_thresholds(t).withColumn("threshold", F.round("threshold", 4))
+
+
 # --- M6, M7: gate with given probabilities ----------------------------------------------
 
 CUTS = M.Thresholds(0.2, 0.3, {"battery": 0.4, "screen": 0.5, "price": 0.6}, 0.65)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from starsift.catalog import QUERIES
 from starsift.operators import labels as L
 from starsift.operators import metrics as E
 from starsift.operators import models as M
@@ -118,6 +119,18 @@ def test_thresholds_round_trip(spark, tmp_path):
     assert got == M.Thresholds(0.2, 0.3, {"battery": 0.4}, 0.65)
 
 
+def test_tuned_thresholds_reach_the_gate(spark, sf_dir):
+    cuts = M.Thresholds.from_table(QUERIES["a11_stored_thresholds"](spark, sf_dir))
+    assert 0.1 <= cuts.related <= 0.9 and 0.1 <= cuts.technical <= 0.9 and 0.4 <= cuts.confidence <= 0.9
+    assert cuts.aspects
+    names = list(cuts.aspects)
+    given = spark.createDataFrame(
+        [(1, "text", 1.0, 1.0, [(a, 1.0) for a in names])],
+        "id int, text string, p_related double, p_technical double, p_aspects array<struct<aspect:string,prob:double>>",
+    )
+    assert M.gate(given, cuts).first()["detected"] == names
+
+
 def titles(spark, n=120):
     rows = [(f"gaming laptop computer model {i % 7}", 1) for i in range(n)]
     rows += [(f"usb cable adapter pack {i % 5}", 0) for i in range(n // 3)]
