@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starsift.catalog.registry import query, rounded
@@ -14,6 +14,7 @@ from starsift.operators import labels as L
 from starsift.operators import metrics as E
 from starsift.operators import models as M
 from starsift.operators.splits import stratified_split
+from starsift.plans import jobs
 from starsift.session import cut_lineage, shared_folder
 from starsift.sources.writers import read_thresholds, save_thresholds
 
@@ -402,33 +403,26 @@ def _(t: Tables):
 
 @query("t08_title_features")
 def _(t: Tables):
-    titles = _titles(t)
-    features = M.fit_title_features(titles, "title")
-    return features.transform(titles).select("doc_id", F.size("terms").alias("n_terms"))
-
-
-def _aspect_frames(t: Tables):
-    sentences = L.with_pairs(t.sentences)
-    technical = L.technical_rows(sentences)
-    vocabulary = L.vocabulary_array(technical)
-    return cut_lineage(L.with_aspect_labels(sentences, technical, vocabulary)), technical
+    return M.title_term_weights(_titles(t), "doc_id", "title")
 
 
 def _trained(t: Tables):
-    frame, technical = _aspect_frames(t)
-    classes = [r["aspect"] for r in L.aspect_vocabulary(technical).orderBy("idx").toLocalIterator()]
+    """The aspect model fitted on the training split, and the frames of all splits."""
+    frames = jobs.training_frames(t.order_sentences)
+    train = cut_lineage(frames.train)
+    classes = [r["aspect"] for r in frames.vocabulary.orderBy("idx").toLocalIterator()]
     weights = {
-        classes[r["idx"]]: r["pos_weight"] for r in L.positive_weights(frame).toLocalIterator()
+        classes[r["idx"]]: r["pos_weight"] for r in L.positive_weights(train).toLocalIterator()
     }
-    return M.train_aspect_model(frame, classes, weights), frame
+    return M.train_aspect_model(train, classes, weights), frames
 
 
 @query("m04_aspect_probabilities")
 def _(t: Tables):
-    model, frame = _trained(t)
-    out = model.probabilities(frame, "sentence_for_model")
+    model, frames = _trained(t)
+    out = model.probabilities(frames.test, "sentence_for_model")
     return out.select(
-        "row_id", "p_related", "p_technical", F.size("p_aspects").alias("n_aspects")
+        "row_id", "p_related", "p_technical", F.inline("p_aspects").alias("aspect", "probability")
     )
 
 
@@ -443,17 +437,18 @@ def _(t: Tables):
     return score(triples).select("row_id", "aspect", "label_idx", "p_positive")
 
 
+def _held_out(frames) -> DataFrame:
+    return frames.val.select("row_id").unionAll(frames.test.select("row_id"))
+
+
 @query("m07_score_sentences")
 def _(t: Tables):
-    aspects, frame = _trained(t)
-    sentiment, _ = _sentiment(t)
+    aspects, frames = _trained(t)
+    triples = L.sentiment_triples(L.with_pairs(t.sentences))
+    triples = cut_lineage(triples.join(_held_out(frames), "row_id", "left_anti"))
+    sentiment = M.train_sentiment_model(triples, L.class_weights(triples))
     cuts = M.Thresholds(0.5, 0.5, {a: 0.5 for a in aspects.aspects}, 0.65)
     out = M.score_texts(
-        frame.select("row_id", "sentence_for_model"), ["row_id"], "sentence_for_model", aspects, sentiment, cuts
+        frames.test.select("row_id", "sentence_for_model"), ["row_id"], "sentence_for_model", aspects, sentiment, cuts
     )
-    return out.select(
-        "row_id", "is_related", "is_technical",
-        F.size("sentiment_aspects").alias("n_sentiments"), F.size("mentioned_aspects").alias("n_mentioned"),
-    )
-
-
+    return out.select("row_id", "is_related", "is_technical", "sentiment_aspects", "mentioned_aspects")

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from starsift.catalog import QUERIES
+from starsift.catalog.tables import Tables
 from starsift.operators import labels as L
 from starsift.operators import metrics as E
 from starsift.operators import models as M
+from starsift.plans.jobs import training_frames
 from starsift.sources.readers import labelled_sentences
 from starsift.sources.writers import read_thresholds, save_thresholds
 
@@ -165,6 +167,35 @@ def test_title_features_are_unit_vectors_of_frequent_terms(spark):
     assert v.norm(2) == pytest.approx(1.0)
 
 
+def test_title_term_rows_equal_the_vectors(spark):
+    df = titles(spark).unionAll(spark.createDataFrame([("unicorn laptop laptop", 1), ("", 0), ("x", 0)], "title string, label int"))
+    df = df.coalesce(1).withColumn("id", F.monotonically_increasing_id()).localCheckpoint()
+    model = M.fit_title_features(df, "title")
+    names = next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
+    expected = {}
+    for r in model.transform(df).collect():
+        tf = dict(zip(r["_tf"].indices.tolist(), r["_tf"].values.tolist()))
+        expected |= {(r["id"], names[i]): (tf[i], w) for i, w in zip(r["features"].indices.tolist(), r["features"].values)}
+    rows = M.title_term_weights(df, "id", "title").collect()
+    assert {(r["id"], r["term"]) for r in rows} == set(expected) and len(rows) == len(expected)
+    for r in rows:
+        assert (r["count"], r["weight"]) == pytest.approx(expected[r["id"], r["term"]])
+        assert r["document_count"] >= M.MIN_DOCS
+
+
+def test_registered_models_score_the_test_split(spark, sf_dir):
+    test = {r["row_id"] for r in training_frames(Tables(spark, sf_dir).order_sentences).test.select("row_id").collect()}
+    p = QUERIES["m04_aspect_probabilities"](spark, sf_dir).collect()
+    aspects = {r["aspect"] for r in p}
+    assert len(aspects) > 1 and {(r["row_id"], r["aspect"]) for r in p} == {(i, a) for i in test for a in aspects}
+    assert len(p) == len(test) * len(aspects) and all(0 <= r["probability"] <= 1 for r in p)
+    cut = {(r["row_id"], r["aspect"]) for r in p if r["p_related"] >= 0.5 and r["p_technical"] >= 0.5 and r["probability"] >= 0.5}
+    scored = QUERIES["m07_score_sentences"](spark, sf_dir).collect()
+    assert {r["row_id"] for r in scored} == test and len(scored) == len(test)
+    found = [(r["row_id"], a) for r in scored for a in [*[x["aspect"] for x in r["sentiment_aspects"]], *r["mentioned_aspects"]]]
+    assert cut and sorted(found) == sorted(cut)
+
+
 def test_aspect_and_sentiment_models(spark):
     rows = []
     for i in range(60):
