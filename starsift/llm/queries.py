@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from starsift.llm.common import new_folder, read_table
 from starsift.llm.content_sort import exact_groups
 from starsift.llm.curriculum import in_training_order, mix_plan
+from starsift.llm.lexical_search import ranked_documents
 from starsift.llm.licences import scan_licences, summary
+from starsift.llm.prefix_trie import prefix_trie as trie_nodes
 from starsift.llm.repeats import without_repeats
 from starsift.llm.severity import fit_severity, score_severity
 from starsift.llm.shingle_join import Likeness, linked_groups
 from starsift.llm.token_counts import count_tokens, with_limit
 from starsift.llm.token_store import store_tokens
 from starsift.llm.tree_search import nearest
+from starsift.llm.vector_links import near_vectors
 from starsift.llm.word_codec import digests, encode_decode
 
 WORD_BPE = "word_bpe_49k.json"
@@ -68,6 +71,18 @@ def curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_training_order(plan).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_nodes(read_table(spark, sf_dir, "conversations"))
+
+
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 10)
+
+
+def vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tree_search": tree_search,
     "op2_shingle_join": shingle_join,
@@ -79,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_word_codec": word_codec,
     "op9_severity": severity,
     "op10_curriculum_mix": curriculum_mix,
+    "op11_prefix_trie": prefix_trie,
+    "op12_lexical_search": lexical_search,
+    "op13_vector_links": vector_links,
 }
 
 ORACLE: dict[str, str] = {
@@ -125,5 +143,67 @@ r AS (
 SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
   CASE WHEN taken > 0 THEN CASE WHEN u > 0 THEN u * 2 * ((a + b) / 2) / (a + sqrt(a * a + (b - a) * 2 * u * ((a + b) / 2)))
     ELSE 0e0 END END AS position
-FROM r""",
+FROM r""",    "op11_prefix_trie": r"""
+WITH RECURSIVE c AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+crc(conv_id, s, i, bit, v) AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR), 0, 8, CAST(4294967295 AS BIGINT) FROM c
+  UNION ALL
+  SELECT conv_id, s, CASE WHEN bit = 8 THEN i + 1 ELSE i END, CASE WHEN bit = 8 THEN 0 ELSE bit + 1 END,
+    CASE WHEN bit = 8 THEN xor(v, CAST(ascii(substr(s, i + 1, 1)) AS BIGINT))
+      WHEN v % 2 = 1 THEN xor(v // 2, CAST(3988292384 AS BIGINT)) ELSE v // 2 END
+  FROM crc WHERE i < length(s) OR bit < 8),
+h AS (SELECT conv_id, xor(v, CAST(4294967295 AS BIGINT)) % 9 AS h FROM crc WHERE i = length(s) AND bit = 8 AND i > 0),
+t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+r AS (
+  SELECT h.conv_id, 0 AS own, k, role, text FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 5 AND k <= h
+  UNION ALL
+  SELECT h.conv_id, 1, k, role, text FROM h JOIN t ON t.conv_id = h.conv_id AND k > h),
+p AS (
+  SELECT c.conv_id, coalesce(x.path, []) AS path FROM c LEFT JOIN (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY own, k) AS path FROM r GROUP BY conv_id) x ON x.conv_id = c.conv_id),
+m AS (SELECT conv_id, path[1:d] AS node, d, len(path) AS n FROM p, LATERAL (SELECT unnest(range(0, len(path) + 1)) AS d)),
+g AS (
+  SELECT node, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM m GROUP BY node, d),
+k AS (SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY 1, 2),
+o AS (
+  SELECT g.node, g.depth, coalesce(n_children, 0) AS n_children,
+    CASE WHEN g.depth > 0 THEN (n_convs - 1) * strlen(g.node[g.depth].text) ELSE 0 END AS saved
+  FROM g LEFT JOIN k ON k.node = g.node AND k.depth = g.depth),
+a AS (
+  SELECT node[1:d] AS node, d AS depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM o, LATERAL (SELECT unnest(range(0, depth + 1)) AS d) GROUP BY 1, 2)
+SELECT g.conv_id, CAST(g.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, g.n_convs, o.n_children,
+  CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved_tokens AS BIGINT) AS saved_tokens, g.ends_sha256
+FROM g JOIN o ON o.node = g.node AND o.depth = g.depth JOIN a ON a.node = g.node AND a.depth = g.depth
+LEFT JOIN g u ON u.depth = g.depth - 1 AND u.node = g.node[1:g.depth - 1]""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+t AS (SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY r, doc_id, term),
+n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY r),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM n),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM f, c),
+s AS (
+  SELECT i.item_id, t.r, t.doc_id, CAST(sum(w.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n.n * c.docs) // c.len)))) AS BIGINT) AS score
+  FROM i JOIN t ON t.term = i.term JOIN w ON w.term = t.term JOIN n ON n.r = t.r CROSS JOIN c
+  GROUP BY i.item_id, t.r, t.doc_id),
+o AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10""",
 }

@@ -58,4 +58,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and {f"op{k}" for k in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert "pipeline" in names and {f"op{k}" for k in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")}
