@@ -18,6 +18,10 @@ from starsift.llm.common import id_and_bytes, text_chunks, worker_memo
 BLOCK_IDS = 1 << 20
 #: Every so many ones the select index has a sample.
 SELECT_STEP = 64
+#: Place of the k-th one in each byte.
+PLACES = np.array([([b for b in range(8) if v >> b & 1] + [0] * 8)[:8] for v in range(256)], np.uint8)
+#: Documents whose boundaries are selected at once.
+SELECTED = 4096
 #: Remembered strings in a worker; a full memo is emptied, which costs time only.
 MEMO = 600_000
 
@@ -83,6 +87,27 @@ class EliasFano:
             low |= int(self.low[bit >> 3] >> (bit & 7) & 1) << b
         return high << self.low_bits | low
 
+    def select_many(self, i: np.ndarray) -> np.ndarray:
+        """As select, for many places at once; a place moves on byte by byte until its one is reached."""
+        i = np.asarray(i, np.int64)
+        at = self.samples[i // SELECT_STEP].astype(np.int64)
+        wanted, byte = i % SELECT_STEP, at >> 3
+        value = self.high[byte] & (0xFF << (at & 7)).astype(np.uint8)
+        have = np.bitwise_count(value).astype(np.int64)
+        behind = np.flatnonzero(have <= wanted)
+        while len(behind):
+            wanted[behind] -= have[behind]
+            byte[behind] += 1
+            value[behind] = self.high[byte[behind]]
+            have[behind] = np.bitwise_count(value[behind])
+            behind = behind[have[behind] <= wanted[behind]]
+        out = ((byte << 3) + PLACES[value, wanted] - i).astype(np.uint64) << np.uint64(self.low_bits)
+        first = i * self.low_bits
+        for b in range(self.low_bits):
+            bit = first + b
+            out |= ((self.low[bit >> 3] >> (bit & 7).astype(np.uint8)) & np.uint8(1)).astype(np.uint64) << np.uint64(b)
+        return out
+
     def decode(self) -> np.ndarray:
         """All numbers at once."""
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
@@ -197,6 +222,29 @@ def write_blocks(blocks: DataFrame, folder: str) -> None:
     blocks.write.mode("overwrite").parquet(folder)
 
 
+def documents_of(row: dict, width: str):
+    """Documents of a block, in slices whose boundaries and ids are selected; neither list is expanded whole."""
+    ends_of, known_of = EliasFano.from_bytes(row["ends"]), EliasFano.from_bytes(row["doc_ids"])
+    ids = np.frombuffer(row["ids"], width)
+    before, nameless = 0, row["n_null"]
+    for at in range(0, ends_of.n, SELECTED):
+        place = np.arange(at, min(at + SELECTED, ends_of.n))
+        ends = ends_of.select_many(place).astype(np.int64)
+        starts = np.concatenate([[before], ends[:-1]])
+        before = int(ends[-1])
+        known = known_of.select_many(place[place >= nameless] - nameless).view(np.int64) + row["first_id"]
+        crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([None] * int((place < nameless).sum()) + known.tolist(), pa.int64()),
+                pa.array(starts + row["part_start"] + row["start_in_part"], pa.int64()),
+                pa.array(ends - starts, pa.int64()),
+                pa.array(crc, pa.int64()),
+            ],
+            names=["doc_id", "start", "n_tokens", "ids_crc32"],
+        )
+
+
 def read_documents(blocks: DataFrame, width: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 from written blocks.
 
@@ -209,21 +257,8 @@ def read_documents(blocks: DataFrame, width: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                ends = EliasFano.from_bytes(row["ends"]).decode().astype(np.int64)
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                known = EliasFano.from_bytes(row["doc_ids"]).decode().view(np.int64) + row["first_id"]
-                ids = np.frombuffer(row["ids"], width).astype("<u4")
-                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([None] * row["n_null"] + known.tolist(), pa.int64()),
-                        pa.array(starts + row["part_start"] + row["start_in_part"], pa.int64()),
-                        pa.array(ends - starts, pa.int64()),
-                        pa.array(crc, pa.int64()),
-                    ],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+            for i in range(batch.num_rows):
+                yield from documents_of(batch.slice(i, 1).to_pylist()[0], width)
 
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

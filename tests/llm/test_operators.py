@@ -312,6 +312,8 @@ def test_elias_fano():
         again = EliasFano.from_bytes(EliasFano.encode(np.array(values, np.int64)).to_bytes())
         assert again.decode().tolist() == list(values)
         assert [again.select(i) for i in range(len(values))] == list(values)
+        mixed_up = rng.permutation(len(values))
+        assert again.select_many(mixed_up).tolist() == [values[i] for i in mixed_up]
     lengths = rng.integers(1, 1200, 10_000)
     assert len(EliasFano.encode(np.cumsum(lengths)).to_bytes()) < 10_000 * 2
 
@@ -331,6 +333,19 @@ def test_token_store(spark, docs, texts, empty, doubled, tmp_path):
     assert read_documents(spark.read.parquet(f"{tmp_path}/a"), "<u2").count() == len(texts)
 
 
+def test_token_store_of_real_texts(spark, sf_dir, tmp_path, monkeypatch):
+    from starsift.llm import token_store
+
+    monkeypatch.setattr(token_store, "SELECTED", 7)
+    library = Tokenizer.from_file(WORD)
+    got = rows_of(store_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), WORD, 2, f"{tmp_path}/real"))
+    start = 0
+    for i, t in sorted(real(sf_dir).items()):
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        assert tuple(got[i])[1:] == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_word_codec(spark, sf_dir, docs, texts, empty, doubled):
     library = Tokenizer.from_file(WORD)
     for frame, given in ((docs, texts), (spark.read.parquet(f"{sf_dir}/documents.parquet"), real(sf_dir))):
