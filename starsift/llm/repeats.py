@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import zlib
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +22,20 @@ PARTS = 4
 BASE = 0x9E3779B97F4A7C15
 
 
-@cache
+#: Powers by their number, kept for a task; a plain dict travels with the job where a cached function would not.
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
+    if n in _POWERS:
+        return _POWERS[n]
     inverse = pow(BASE, -1, 1 << 64)
     ones = np.ones(n, np.uint64)
     up, down = ones.copy(), ones.copy()
     up[1:], down[1:] = BASE, inverse
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    _POWERS[n] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return _POWERS[n]
 
 
 def rolling(flat: np.ndarray, width: int) -> np.ndarray:
