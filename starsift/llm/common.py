@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import time
 import types
 import uuid
 from collections.abc import Iterator
@@ -80,11 +81,39 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/starsift-{uuid.uuid4().hex}"
 
 
+#: Folders written in this process that nothing has released, and when shuffles were last let go.
+_WRITTEN: list[str] = []
+_LET_GO = [0.0]
+#: Seconds between two times that shuffles are let go.
+LET_GO_EVERY = 4.0
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows as written to Parquet in the shared folder: computed once, read by several later steps."""
-    folder = new_folder(df.sparkSession)
+    spark = df.sparkSession
+    folder = new_folder(spark)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    _WRITTEN.append(folder)
+    if time.monotonic() - _LET_GO[0] > LET_GO_EVERY:
+        # Spark deletes a shuffle's files once the driver's collector has found its plan unused, which may take very long
+        spark.sparkContext._jvm.System.gc()
+        _LET_GO[0] = time.monotonic()
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def release(spark: SparkSession, since: int, *results: DataFrame) -> None:
+    """Deletes the folders written since `written()` gave that number, but for those that `results` read."""
+    read = {f.rsplit("/", 2)[-2] for result in results for f in result.inputFiles()}
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in _WRITTEN[since:]:
+        if folder.rsplit("/", 1)[-1] not in read:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+            _WRITTEN.remove(folder)
+
+
+def written() -> int:
+    return len(_WRITTEN)
 
 
 def with_ids(rows: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
@@ -101,7 +130,7 @@ class WordHashes(dict):
     """Memo of 64-bit word hashes; a full memo is emptied, which costs time only."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 250_000:
             self.clear()
         self[word] = h = word_hash(word)
         return h

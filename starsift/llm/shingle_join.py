@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsift.llm.common import WordHashes, hashed_words, id_and_bytes, mixed, stored, text_chunks, with_ids, worker_memo
+from starsift.llm.common import WordHashes, hashed_words, id_and_bytes, mixed, release, stored, text_chunks, with_ids, worker_memo, written
 from starsift.llm.components import components
 
 #: Rows and bytes of text a task compares with itself before anything is shuffled.
-PIECE_ROWS, PIECE_BYTES = 4_000, 8 << 20
+PIECE_ROWS, PIECE_BYTES = 4_000, 3 << 20
+#: Rows and bytes of text whose sets are made at once where nothing is compared.
+SET_ROWS, SET_BYTES = 1_000, 1 << 20
 #: Sets in a block of a tile.
 BLOCK = 128
 #: Times that sets are verified against a drawn set of each open key before all its blocks meet.
@@ -180,7 +182,7 @@ def _set_table(rows: DataFrame, how: Likeness) -> DataFrame:
     """doc_id, n_shingles and the digests of the set."""
 
     def run(batches):
-        for ids, texts in text_chunks(batches, PIECE_ROWS, PIECE_BYTES):
+        for ids, texts in text_chunks(batches, SET_ROWS, SET_BYTES):
             sets = shingle_sets(texts, how, _memo())
             d1, d2 = set_digests(sets)
             sizes = np.array([len(s) for s in sets], np.int64)
@@ -235,7 +237,7 @@ def _per_set(rows: DataFrame, ids: DataFrame, how: Likeness, column: str) -> Dat
     form = {"bits": bitmap, "items": lambda s: s}[column]
 
     def run(batches):
-        for doc_ids, texts in text_chunks(batches, PIECE_ROWS, PIECE_BYTES):
+        for doc_ids, texts in text_chunks(batches, SET_ROWS, SET_BYTES):
             sets = shingle_sets(texts, how, _memo())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([form(s).tobytes() for s in sets], pa.binary())],
@@ -295,21 +297,19 @@ def _open_members(members: DataFrame, found: DataFrame, copies: DataFrame) -> Da
     return stored(named.join(stored(several.select("key")), "key", "left_semi").distinct())
 
 
-def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
+def _tile_pairs(members: DataFrame, bits: DataFrame, how: Likeness) -> DataFrame:
     """Pairs of sets of one key in different components whose bitmaps allow a link.
 
-    Rows (key, doc, label, n, bits). The sets of a key are dealt into blocks; an equal join on the key brings every two
-    blocks together once, and a task compares the bitmaps of the two.
+    Rows (key, doc, label), and (doc, n, bits) of the sets. Sets of a key that fit one block meet in it; those of other
+    keys are dealt into blocks, and an equal join on the key brings every two blocks together once.
     """
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    dealt = members.join(counts, "key")
+    hot = stored(counts.filter(F.col("members") > BLOCK))
+    sets = F.collect_list(F.struct("doc", "label", "n", "bits")).alias("sets")
+    small = members.join(hot, "key", "left_anti").join(bits, "doc").groupBy("key").agg(sets)
     block = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / BLOCK))
-    blocks = stored(
-        dealt.groupBy("key", block.alias("block")).agg(
-            F.collect_list(F.struct("doc", "label", "n", "bits")).alias("sets"),
-            F.min("label").alias("low"), F.max("label").alias("high"),
-        )
-    )
+    dealt = members.join(hot, "key").join(bits, "doc").groupBy("key", block.alias("block"))
+    blocks = stored(dealt.agg(sets, F.min("label").alias("low"), F.max("label").alias("high")))
     other = blocks.select("key", *[F.col(c).alias(f"{c}_2") for c in ("block", "sets", "low", "high")])
     mixed_labels = ~((F.col("low") == F.col("high")) & (F.col("low_2") == F.col("high_2")) & (F.col("low") == F.col("low_2")))
     pairs = blocks.join(other, "key").filter((F.col("block") <= F.col("block_2")) & mixed_labels)
@@ -317,23 +317,29 @@ def _tile_pairs(members: DataFrame, how: Likeness) -> DataFrame:
     def run(batches):
         for batch in batches:
             found_a, found_b = [], []
-            for row in batch.to_pylist():
-                one, two = row["sets"], row["sets_2"]
-                words = min(len(s["bits"]) for s in one + two) // 8
-                matrix = [np.array([folded(np.frombuffer(s["bits"], np.uint64), words) for s in part]) for part in (one, two)]
-                n, label, doc = (([np.array([s[c] for s in part]) for part in (one, two)]) for c in ("n", "label", "doc"))
-                for i in range(len(one)):
-                    ahead = (label[1] != label[0][i]) & (doc[1] > doc[0][i] if row["same"] else doc[1] != doc[0][i])
-                    only_a = np.bitwise_count(matrix[0][i] & ~matrix[1]).sum(axis=1).astype(np.int64)
-                    only_b = np.bitwise_count(matrix[1] & ~matrix[0][i]).sum(axis=1).astype(np.int64)
-                    common = np.minimum(n[0][i] - only_a, n[1] - only_b)
-                    for j in np.flatnonzero(ahead & how.linked(common, n[0][i], n[1])):
-                        found_a.append(min(int(doc[0][i]), int(doc[1][j])))
-                        found_b.append(max(int(doc[0][i]), int(doc[1][j])))
+            for at in range(0, batch.num_rows, 8):
+                for row in batch.slice(at, 8).to_pylist():
+                    for a, b in alike(row["sets"], row["sets_2"] or row["sets"], row["same"]):
+                        found_a.append(min(a, b))
+                        found_b.append(max(a, b))
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
+    def alike(one: list[dict], two: list[dict], same: bool):
+        words = min(len(s["bits"]) for s in one + two) // 8
+        matrix = [np.array([folded(np.frombuffer(s["bits"], np.uint64), words) for s in part]) for part in (one, two)]
+        n, label, doc = (([np.array([s[c] for s in part]) for part in (one, two)]) for c in ("n", "label", "doc"))
+        for i in range(len(one)):
+            ahead = (label[1] != label[0][i]) & (doc[1] > doc[0][i] if same else doc[1] != doc[0][i])
+            only_a = np.bitwise_count(matrix[0][i] & ~matrix[1]).sum(axis=1).astype(np.int64)
+            only_b = np.bitwise_count(matrix[1] & ~matrix[0][i]).sum(axis=1).astype(np.int64)
+            common = np.minimum(n[0][i] - only_a, n[1] - only_b)
+            for j in np.flatnonzero(ahead & how.linked(common, n[0][i], n[1])):
+                yield int(doc[0][i]), int(doc[1][j])
+
     same = (F.col("block") == F.col("block_2")).alias("same")
-    return pairs.select("sets", "sets_2", same).mapInArrow(run, "a long, b long").distinct()
+    alone = small.select("sets", F.lit(None).cast(dict(small.dtypes)["sets"]).alias("sets_2"), F.lit(True).alias("same"))
+    found = alone.mapInArrow(run, "a long, b long").union(pairs.select("sets", "sets_2", same).mapInArrow(run, "a long, b long"))
+    return found.distinct()
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -382,7 +388,7 @@ def _link_counts(rows: DataFrame, classes: DataFrame, found: DataFrame, how: Lik
     plan = stored(plan.select("doc", "ids", "component", F.expr(meets).alias("meets")).filter("size(meets) > 0"))
 
     def sets(batches):
-        for doc_ids, texts in text_chunks(batches, PIECE_ROWS, PIECE_BYTES):
+        for doc_ids, texts in text_chunks(batches, SET_ROWS, SET_BYTES):
             items = [s.tobytes() for s in shingle_sets(texts, how, _memo())]
             for at in range(0, len(items), BLOCK):
                 cut = slice(at, at + BLOCK)
@@ -435,6 +441,7 @@ def linked_groups(
     With count_links there is also n_links: the number of other documents whose sets link with the row's. For that all
     classes of a component are compared, so a group costs the square of its different sets in work, not in rows.
     """
+    before = written()
     rows = id_and_bytes(docs, id_col, text_col)
     table = stored(_set_table(rows, how))
     named = table.filter("doc_id is not null and n_shingles > 0")
@@ -479,8 +486,7 @@ def linked_groups(
         found = components(links)
         left = _open_members(left.select("key", "doc"), found, copies)
     # all pairs of different components in the keys that are left
-    left = left.join(bits, "doc")
-    more = stored(_verified(stored(_tile_pairs(left, how)), rows, bits, how))
+    more = stored(_verified(stored(_tile_pairs(left, bits, how)), rows, bits, how))
     if not more.isEmpty():
         found = components(links.union(more))
 
@@ -491,11 +497,14 @@ def linked_groups(
         found = found.join(counted, F.col("node") == F.col("doc"), "left").drop("doc")
         links = F.coalesce("links", F.lit(0)) + F.coalesce("ids", F.lit(1)) - 1
         columns = [F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), links).otherwise(0).alias("n_links")]
+    found = stored(found)
     out = table.join(several, ["d1", "d2", "n_shingles"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id"))
     linked = F.when(F.col("n_shingles") > 0, F.coalesce("component", "own")).otherwise(F.col("doc_id"))
-    return (
+    out = (
         out.withColumn("own", own)
         .join(found, F.col("own") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), linked).alias("component_id"), *columns)
     )
+    release(rows.sparkSession, before, out, docs)
+    return out
