@@ -19,12 +19,19 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a model fitted on the labels does not call toxic; without usable labels all stay."""
-    return without_toxic(docs, fit_severity(docs, read_table(spark, sf_dir, "labels")))
+    """Documents that a model fitted on the labels does not call toxic, less those that a label itself calls toxic.
+
+    Without usable labels all stay. Null and empty texts and rows without an id stay unless labelled; repeated rows fare
+    alike; an empty table stays empty.
+    """
+    labels = read_table(spark, sf_dir, "labels")
+    kept = without_toxic(docs, fit_severity(docs, labels))
+    known = labels.filter("toxic > 0").select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct()
+    return with_ids(kept, known, how="left_anti").select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for blanks, the longest and then the smallest id stays."""
+    """Of texts equal but for blanks, the longest and then the smallest id stays; null and empty texts are equal."""
     return first_of_groups(docs)
 
 
@@ -41,14 +48,15 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The copy at which a source reaches its target stays whole if half of its words or more are taken, else it goes; so
     a source misses its target by half a document at most. Rows that share an id and a size get the same copies.
     """
+    mark = "_"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    key, size, copy, at, words = (mark + c for c in ("id", "size", "copy", "at", "words"))
     taken = copies(mix_plan(docs)).filter("words > 0 and 2 * words >= size")
-    taken = taken.select(
-        F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("copy").alias("_copy"), F.col("position").alias("_at")
-    ).dropDuplicates(["_id", "_size", "_copy"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size"))
-    rows = docs.withColumn("_words", word_count(F.col("text"))).join(taken, same)
-    order = ["_at", "_id", "_copy"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    taken = taken.groupBy(F.col("doc_id").alias(key), F.col("size").alias(size), F.col("copy").alias(copy)).agg(F.min("position").alias(at))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(words) == F.col(size))
+    rows = docs.withColumn(words, word_count(F.col("text"))).join(taken, same)
+    return rows.repartitionByRange(at, key, copy).sortWithinPartitions(at, key, copy).select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
