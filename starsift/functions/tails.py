@@ -34,10 +34,13 @@ def _nonzero(x: np.ndarray) -> np.ndarray:
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
+    """Continued fraction of the incomplete beta function (modified Lentz); every row stops for itself."""
+    out = np.ones_like(x)
+    rows = np.arange(len(x))
     c = np.ones_like(x)
     d = 1.0 / _nonzero(1.0 - (a + b) * x / (a + 1.0))
     h = d.copy()
+    before = np.full_like(x, np.inf)
     for m in count(1):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
@@ -46,9 +49,17 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
             c = _nonzero(1.0 + term / c)
             step = d * c
             h = h * step
-        if np.all(np.abs(step - 1.0) < 1e-15):
-            break
-    return h
+        off = np.abs(step - 1.0)
+        done = _settled(off, before) | np.isnan(off)
+        out[rows[done]] = h[done]
+        if done.all():
+            return out
+        rows, a, b, x, c, d, h, before = (v[~done] for v in (rows, a, b, x, c, d, h, off))
+
+
+def _settled(off, before):
+    """A fraction ends once a step changes a few last digits at most, or rounding keeps it from getting closer."""
+    return (off < 4e-15) | ((off < 1e-11) & (off >= before))
 
 
 def _half_step(a: float) -> float:
@@ -117,6 +128,7 @@ def _gamma_fraction(a: float, x: float) -> float:
     c = 1.0 / _TINY
     d = 1.0 / b
     h = d
+    off = math.inf
     for i in count(1):
         an = -i * (i - a)
         b += 2.0
@@ -126,7 +138,8 @@ def _gamma_fraction(a: float, x: float) -> float:
         c = c if abs(c) > _TINY else _TINY
         step = d * c
         h *= step
-        if abs(step - 1.0) < 1e-15:
+        before, off = off, abs(step - 1.0)
+        if _settled(off, before) or math.isnan(off):
             break
     return h * math.exp(-x + a * math.log(x) - math.lgamma(a))
 

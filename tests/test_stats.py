@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -39,6 +40,17 @@ def test_tails_run_to_convergence():
     assert tails.chi_square_upper([math.inf], [3]) == pytest.approx([0.0])
 
 
+def test_t_tail_ends_for_every_row():
+    rng = np.random.default_rng(6)
+    begin = time.monotonic()
+    counts = rng.integers(5_000, 50_000, 10_000)
+    many = tails.t_two_sided(3 * rng.standard_normal(10_000), counts)
+    mixed = tails.t_two_sided(2 * rng.standard_cauchy(100_000), np.exp(rng.uniform(0, np.log(1e5), 100_000)))
+    assert time.monotonic() - begin < 10 and np.isfinite(many).all() and ((mixed >= 0) & (mixed <= 1)).all()
+    t, dof = np.linspace(0.01, 12, 300), np.full(300, 2_000.0)
+    assert tails.t_two_sided(t, dof) == pytest.approx(2 * tails.normal_upper(tails._normal_point(t, dof)), rel=1e-9)
+
+
 def test_chi_square_tail():
     x = np.array([0.1, 1.0, 3.841458820694124, 30.0, 200.0])
     assert tails.chi_square_upper(x, 1) == pytest.approx(2 * tails.normal_upper(np.sqrt(x)), rel=1e-9)
