@@ -22,6 +22,7 @@ from starsift.functions.textclean import (
     word_count,
 )
 from starsift.operators.dedupe import broadcast_if_small, drop_same_text, first_per_key
+from starsift.session import cut_lineage
 
 UNKNOWN_LANGUAGE = "unknown"
 GRAM = r"(?s)(?=(...))"
@@ -29,7 +30,12 @@ GRAM = r"(?s)(?=(...))"
 LEAST_PER_MILLION = 1.0
 #: Characters of text scored at once.
 SCORED_CHARS = 1 << 20
-NEEDLE_BYTES = 8_000_000
+#: Hashed runs of needles that are sent to every task: bytes at most, and bytes counted for each.
+NEEDLE_BYTES, RUN_BYTES = 8_000_000, 16
+#: Words of a hashed run, and letters of one for needles without an inner word.
+RUN, MOST_LETTERS = 3, 16
+#: Texts from which on a run is common, so that a second run must be there too.
+COMMON_RUN = 100
 
 # Published constants of the rule-based sentiment score (Hutto and Gilbert 2014).
 NEGATION_FACTOR = -0.74
@@ -255,26 +261,14 @@ def drop_labelled_texts(
     return drop_same_text(keyed, contexts, "_fingerprint", "_c").drop("_fingerprint")
 
 
-def _found_needles(needles: list[str]):
-    """Task function: which needles occur in the texts of a partition, one linear scan each."""
+def _runs(parts: Column, width: int) -> Column:
+    """Distinct hashes of all runs of `width` parts that follow each other; none in a shorter list."""
+    columns = [F.slice(parts, k + 1, F.greatest(F.size(parts) - (width - 1), F.lit(0))) for k in range(width)]
+    return F.array_distinct(F.transform(F.arrays_zip(*columns), lambda z: F.xxhash64(F.lit(width), z)))
 
-    def scan(batches):
-        import ahocorasick
 
-        automaton = ahocorasick.Automaton()
-        for needle in needles:
-            automaton.add_word(needle, needle)
-        automaton.make_automaton()
-        for batch in batches:
-            rows, hits = [], []
-            for row, text in enumerate(batch.column("_text").to_pylist()):
-                found = sorted({needle for _, needle in automaton.iter(text)}) if text else []
-                rows.extend([row] * len(found))
-                hits.extend(found)
-            ids = batch.column("_id").take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(hits, pa.string())], ["_id", "needle"])
-
-    return scan
+def _parts(text: Column, by_word: bool) -> Column:
+    return F.split(text, " " if by_word else "")
 
 
 def contained_texts(
@@ -283,28 +277,52 @@ def contained_texts(
 ) -> DataFrame:
     """(text_id, needle): which needle strings occur anywhere inside which texts, exactly.
 
-    Needles are measured first. They are split by digest into groups of at most
-    `max_bytes` on average; each group goes to the tasks with the scan and
-    every text is read once per group, in time linear in its length. One group
-    is the usual case (hand-labelled texts); more needles mean more groups, not
-    a larger one.
+    A text that holds a needle holds the needle's inner words (all but the first and the last, which may be cut) one
+    after the other. Hashed runs of up to `RUN` inner words are looked up in all texts, with the number of texts that
+    hold each; a needle is anchored at its rarest run, and a needle whose anchor is common is held to its second
+    rarest run as well. Only those candidates are proved on the text. Needles without an inner word are looked up by
+    their characters. Hashes of the needles go to all tasks up to `max_bytes`, else they are joined; no needle passes
+    the driver. Null and empty needles occur nowhere, nor does anything in a null text.
     """
+    inner = F.slice(_parts(F.col("_n"), True), 2, F.greatest(F.size(_parts(F.col("_n"), True)) - 2, F.lit(0)))
     listed = needles.where(F.length(needle) > 0).select(F.col(needle).alias("_n")).distinct()
-    size = listed.agg(F.coalesce(F.sum(F.octet_length("_n")), F.lit(0))).first()[0]
-    groups = max(1, -(-size // max_bytes))
-    id_type = texts.schema[text_id].dataType.simpleString()
+    words = F.size(inner)
+    letters = F.pow(F.lit(2), F.floor(F.log2(F.least(F.length("_n"), F.lit(MOST_LETTERS))))).cast("int")
+    listed = cut_lineage(
+        listed.select("_n", (words > 0).alias("by_word"), F.when(words > 0, F.least(words, F.lit(RUN))).otherwise(letters).alias("width"))
+    )
     source = texts.select(F.col(text_id).alias("_id"), F.col(text).alias("_text"))
-    out = None
-    for g in range(groups):
-        chunk = [
-            r[0] for r in listed.where(F.pmod(F.xxhash64("_n"), F.lit(groups)) == g).toLocalIterator()
-        ]
-        if chunk:
-            hits = source.mapInArrow(_found_needles(chunk), f"_id {id_type}, needle string")
-        else:
-            hits = source.select("_id", F.lit(None).cast("string").alias("needle")).where(F.lit(False))
-        out = hits if out is None else out.unionAll(hits)
-    return out.select(F.col("_id").alias(text_id), "needle")
+    wanted = found = None
+    for kind in listed.select("by_word", "width").distinct().collect():  # RUN word widths and a few of letters at most
+        own = listed.where((F.col("by_word") == kind.by_word) & (F.col("width") == kind.width))
+        parts = inner if kind.by_word else _parts(F.col("_n"), False)
+        mine = own.select("_n", F.explode(_runs(parts, kind.width)).alias("run"))
+        here = source.select("_id", F.explode(_runs(_parts(F.col("_text"), kind.by_word), kind.width)).alias("run"))
+        wanted = mine if wanted is None else wanted.unionAll(mine)
+        found = here if found is None else found.unionAll(here)
+    if wanted is None:
+        return source.select(F.col("_id").alias(text_id), F.col("_text").alias("needle")).where(F.lit(False))
+    wanted = cut_lineage(wanted)
+    runs = cut_lineage(wanted.select("run").distinct())
+    few = runs.count() * RUN_BYTES <= max_bytes
+    hits = cut_lineage(found.join(F.broadcast(runs) if few else runs, "run", "left_semi").distinct())
+    held = hits.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    ranked = (
+        wanted.join(held, "run", "left")
+        .groupBy("_n")
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run"))).alias("r"))
+        .select("_n", F.get("r", 0).alias("first"), F.get("r", 1).getField("run").alias("second"))
+        .where("first.n > 0")
+    )
+    at = ranked.select("_n", F.col("first.run").alias("run"), "second", (F.col("first.n") > COMMON_RUN).alias("hot"))
+    pairs = at.join(hits, "run").select("_n", "_id", "second", "hot")
+    also = hits.select(F.col("_id").alias("_also"), F.col("run").alias("second"))
+    long = pairs.where("hot and second is not null").join(
+        also, (F.col("_id").eqNullSafe(F.col("_also"))) & (pairs["second"] == also["second"]), "left_semi"
+    )
+    pairs = pairs.where("not hot or second is null").select("_n", "_id").unionAll(long.select("_n", "_id"))
+    proved = pairs.withColumnRenamed("_id", "_of").join(source, F.col("_of").eqNullSafe(F.col("_id")))
+    return proved.where(F.contains("_text", "_n")).select(F.col("_id").alias(text_id), F.col("_n").alias("needle"))
 
 
 def leakage_audit(

@@ -2,6 +2,8 @@
 
 import math
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +104,30 @@ def test_contained_texts_in_one_or_many_groups(spark, limit):
     assert got == {(1, "quick brown"), (1, "brown fox"), (2, "dog"), (4, "quick brown"), (4, "brown fox")}
 
 
+@pytest.mark.parametrize("limit", [X.NEEDLE_BYTES, 0])
+def test_contained_texts_against_every_pair(spark, monkeypatch, limit):
+    """A run that every text holds, needles cut inside words, texts that repeat and ids that are null."""
+    monkeypatch.setattr(X, "COMMON_RUN", 3)
+    rng = random.Random(3)
+    words = ["to", "be", "or", "not", "thé", "\U0001f642x", "a"]
+    texts = [(i % 70, "all texts hold this run " + " ".join(rng.choice(words) for _ in range(rng.randrange(30)))) for i in range(80)]
+    texts += [(None, "to be or not to be"), (None, None), (5, ""), (6, "to  be  or")]
+    needles = {t[rng.randrange(10) :][: rng.randrange(1, 60)] for _, t in texts if t} | {"hold this run", "texts hold this run to", "to  be", "absent words here now"}
+    frame = spark.createDataFrame(texts, "id int, t string")
+    got = X.contained_texts(frame, "id", "t", spark.createDataFrame([(n,) for n in needles], "n string"), "n", limit)
+    want = [(i, n) for i, t in texts for n in needles if n and t and n in t]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Arrow" not in plan
+
+
+def test_contained_texts_with_many_needles(spark):
+    """More needles than are sent to every task."""
+    texts = spark.range(300).select("id", F.concat(F.lit("text begins "), F.repeat(F.concat("id", F.lit(" some words ")), 20)).alias("t"))
+    needles = spark.range(200_000).select(F.concat(F.lit("gins "), "id", F.lit(" some words "), "id", F.lit(" some words "), "id").alias("n"))
+    assert X.contained_texts(texts, "id", "t", needles, "n", 1 << 20).count() == 300
+
+
 def test_leakage_audit_uses_cleaned_long_contexts(spark):
     docs = spark.createDataFrame([(1, "say. this is a fairly long context. bye")], "id int, t string")
     labelled = spark.createDataFrame(
