@@ -18,20 +18,20 @@ def contingency(df: DataFrame, row: str, col: str) -> DataFrame:
     Only counts per cell leave the reviews; every later step works on labels.
     """
     seen = count_by(df, row, col, name="n")
-    col_labels = seen.agg(F.array_sort(F.collect_set(col))).scalar()
+    columns = seen.groupBy(col).agg(F.sum("n").alias("col_total"))
+    labels = columns.agg(F.array_sort(F.collect_list(F.struct(col, "col_total")))).scalar()
+    total = seen.agg(F.sum("n")).scalar()
     per_row = seen.groupBy(row).agg(
-        F.map_from_entries(F.collect_list(F.struct(col, "n"))).alias("_cells")
-    )
-    cells = per_row.select(row, "_cells", F.explode(col_labels).alias(col)).select(
-        row, col, F.coalesce(F.element_at("_cells", F.col(col)), F.lit(0)).alias("n")
+        F.map_from_entries(F.collect_list(F.struct(col, "n"))).alias("_cells"), F.sum("n").alias("row_total")
     )
+    cells = per_row.select(row, "_cells", "row_total", F.explode(labels).alias("_label"))
     return cells.select(
         row,
-        col,
-        "n",
-        F.sum("n").over(Window.partitionBy(row)).alias("row_total"),
-        F.sum("n").over(Window.partitionBy(col)).alias("col_total"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
+        F.col("_label").getField(col).alias(col),
+        F.coalesce(F.element_at("_cells", F.col("_label").getField(col)), F.lit(0)).alias("n"),
+        "row_total",
+        F.col("_label.col_total").alias("col_total"),
+        total.alias("total"),
     )
 
 
@@ -85,18 +85,15 @@ def _finish(stats: DataFrame, alpha: float) -> DataFrame:
 
 def chi_square(cells: DataFrame, row: str, col: str, alpha: float = 0.05) -> DataFrame:
     """Test of independence on a contingency table; Yates' correction for a 2 x 2 table."""
-    sized = cells.withColumns(
-        {
-            "_rows": F.size(F.collect_set(row).over(Window.partitionBy())),
-            "_cols": F.size(F.collect_set(col).over(Window.partitionBy())),
-        }
+    plain, corrected = (
+        F.sum(_chi_square_terms(F.col("n"), expected_count(), F.lit(yates))) for yates in (False, True)
     )
-    yates = (F.col("_rows") - 1) * (F.col("_cols") - 1) == 1
-    stats = sized.agg(
-        F.sum(_chi_square_terms(F.col("n"), expected_count(), yates)).alias("chi2"),
-        F.sum("n").alias("n"),
-        F.max("_rows").alias("rows"),
-        F.max("_cols").alias("cols"),
+    counted = cells.agg(plain.alias("_plain"), corrected.alias("_corrected"), F.sum("n").alias("n"))
+    sizes = cells.agg(F.count_distinct(row).alias("rows"), F.count_distinct(col).alias("cols"))
+    stats = counted.withColumns({"rows": sizes.select("rows").scalar(), "cols": sizes.select("cols").scalar()})
+    two_by_two = (F.col("rows") - 1) * (F.col("cols") - 1) == 1
+    stats = stats.select(
+        F.when(two_by_two, F.col("_corrected")).otherwise(F.col("_plain")).alias("chi2"), "n", "rows", "cols"
     )
     return _finish(stats, alpha)
 
