@@ -30,8 +30,20 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+#: Rows of a batch that goes to Python: texts and sets are long, so Spark's default of 10,000 fills memory.
+BATCH_ROWS = 1_000
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets the rows of a batch for this session, unless it has a setting of its own; results do not depend on it."""
+    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As id_and_text, with the text as UTF-8 bytes for tasks in Python; null stays null."""
+    bounded_batches(docs.sparkSession)
     return id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsift.llm.common import SLICE_ROWS, id_and_bytes, id_and_text, release, stored, text_chunks, worker_memo, written
+from starsift.llm.common import SLICE_ROWS, bounded_batches, id_and_bytes, id_and_text, release, stored, text_chunks, worker_memo, written
 
 #: Labelled documents the model is fitted on: a documented bound of the sample.
 SAMPLE_ROWS = 20_000
@@ -34,7 +34,7 @@ STEMS = (4, 5, 6)
 #: Evidence counts as dense where it stands at least so often and on so many of the runs without blanks.
 DENSE_TIMES, DENSE_SHARE = 2, 1 / 200
 LETTERS = re.compile(r"[^\W\d_]+")
-MEMO = 100_000
+MEMO = 200_000
 
 
 @dataclass
@@ -415,6 +415,7 @@ def score_severity(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id"
 def without_toxic(docs: DataFrame, model: SeverityModel, text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, that the model does not call toxic; null and empty texts stay, repeated rows too."""
     column = docs.columns.index(text_col)
+    bounded_batches(docs.sparkSession)
 
     def run(batches):
         score = scorer(model)

@@ -23,7 +23,7 @@ from starsift.llm.curriculum import copies, mix_plan
 from starsift.llm.licence_rules import rules
 from starsift.llm.licences import BASE, GATE, scan_licences, summary
 from starsift.llm.repeats import without_repeats
-from starsift.llm.severity import fit_ordinal, fit_severity, score_severity, without_toxic
+from starsift.llm.severity import chance_of, fit_ordinal, fit_severity, held_features, least_toxic, score_severity, without_toxic
 from starsift.llm.shingle_join import Likeness, bitmap, linked_groups, most_common, part_keys
 from starsift.llm.token_counts import count_tokens, with_limit
 from starsift.llm.token_store import EliasFano, read_documents, store_tokens
@@ -402,6 +402,26 @@ def test_severity_odd_rows(spark, docs, empty, doubled):
     assert score_severity(empty, fit_severity(empty, labels)).count() == 0
 
 
+def test_severity_against_plain_scores(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_severity(docs, labels)
+    weight = dict(zip(model.words, model.weights, strict=True))
+    texts = real(sf_dir)
+    for i, r in rows_of(score_severity(docs, model)).items():
+        text = (texts[i] or "").encode()
+        score = sum(weight[f] for f in held_features(text) if f in weight)
+        above = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        each = [1 - above[0], *[a - b for a, b in zip(above, [*above[1:], 0.0], strict=True)]]
+        assert abs(r.severity - sum(above)) < 1e-9 and abs(r.p_toxic - above[0]) < 1e-9
+        assert each[r.grade] >= max(each) - 1e-9 and r.toxic == (bool(text) and above[0] >= model.cut)
+
+
+def test_evidence_by_chance():
+    ln = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 88)))])
+    assert abs(chance_of(4, 4, 11, 87, ln) - 330 / 2_225_895) < 1e-9 and abs(chance_of(0, 4, 11, 87, ln) - 1) < 1e-9
+    assert least_toxic(5, 1, 11, 87, ln) <= least_toxic(5, 100, 11, 87, ln) <= 6
+
+
 def test_ordinal_fit_recovers_order():
     rng = np.random.default_rng(0)
     x = (rng.random((2000, 3)) < 0.5).astype(float)
