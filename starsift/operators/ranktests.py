@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from starsift.functions.tails import chi_square_p, normal_upper_p, t_two_sided_p
 from starsift.operators.profile import null_safe_corr
-from starsift.operators.running import present, running_counts, value_bucket
+from starsift.operators.running import present, running_counts
 
-SALTS = 8
+#: A value is common when it holds more than 1/COMMON of all pairs; so at most COMMON values are.
+COMMON = 1024
 
 
 def _correlation_result(r: DataFrame, name: str) -> DataFrame:
@@ -37,30 +38,36 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _midranks(pairs: DataFrame, value: str, name: str) -> DataFrame:
-    """Centred mid-rank of every distinct value of one side of the pair table."""
-    ranked = running_counts(pairs, value, {"w": F.sum("n")})
+    """Centred mid-rank of every distinct value of one side of the pair table, and its share of the pairs as `_salts`.
+
+    A value with k / COMMON of all pairs gets k + 1 salts (rounded down), any other one.
+    """
+    ranked = running_counts(pairs, value, {"w": F.sum("n"), "p": F.count(F.lit(1))})
     return ranked.select(
         F.col("value").alias(value),
         (F.col("w_before") + (F.col("w") - F.col("w_total")) / 2).alias(name),
+        (F.floor(F.col("p") * COMMON / F.col("p_total")) + 1).alias("_salts"),
     )
 
 
 def _attach_rank(pairs: DataFrame, ranks: DataFrame, value: str, other: str) -> DataFrame:
-    """Join ranks on a value that may be very common: copies of a value are spread over salts."""
-    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)))
-    spread = ranks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(
-        spread.withColumn("_salt", F.col("_salt").cast("bigint")), [value, "_salt"]
-    ).drop("_salt")
+    """Join ranks on a value that may be very common: a common value's pairs are spread over salts in proportion to
+    their number, and its rank is copied once for each; other values are not copied.
+    """
+    common = ranks.where(F.col("_salts") > 1).select(value, "_salts")
+    # at most COMMON rows
+    salted = pairs.join(F.broadcast(common), value, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(other), F.coalesce("_salts", F.lit(1)))
+    )
+    spread = ranks.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1)))
+    return salted.drop("_salts").join(spread.drop("_salts"), [value, "_salt"]).drop("_salt")
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson correlation of mid-ranks over rows where both values are known."""
     values = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    # all conditions of the later steps, so that every use of the pairs is one plan
     pairs = (
         present(present(values, "_x"), "_y")
-        .where(value_bucket(F.col("_x")).isNotNull() & value_bucket(F.col("_y")).isNotNull())
         .groupBy("_x", "_y")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -4,8 +4,10 @@ All three need a global order, which a plain ordered window gives only by
 moving every row into one task. Here the column is cut into buckets that follow
 its order. Bucket totals are a small table (its size has a fixed bound), so the
 running total over buckets is cheap, and the remaining work is a window inside
-each bucket. Buckets depend on the value alone, so results do not change with
-the number of partitions, and a lost executor only recomputes its own part.
+each bucket. A bucket first spans a fixed share of the value's size; where many
+distinct values lie closer than that, it is split again at values drawn from
+the column. The draw depends on the set of values alone, so a lost executor
+recomputes the same buckets.
 """
 
 from __future__ import annotations
@@ -17,20 +19,76 @@ from pyspark.sql import functions as F
 
 RESOLUTION = 1024
 _BUCKET_CEILING = 1_000_000
+#: Hash cells of the draw of distinct values: one is drawn from each.
+CELLS = 4096
+#: A bucket that holds this many of the drawn values, a hundredth of them, is split at them.
+CROWDED = CELLS // 100
 HASH_PREFIX = 4
 
 
 def value_bucket(value: Column, resolution: int = RESOLUTION) -> Column:
-    """Integer bucket that never decreases as the value grows.
+    """Integer that never decreases as the value grows.
 
-    A bucket spans about 1/resolution of the value's size (1/resolution near
-    zero). ln(largest double) * 1024 is under the ceiling, so a column has at
-    most two million buckets whatever it holds.
+    It spans about 1/resolution of the value's size (1/resolution near zero).
+    ln(largest double) * 1024 is under the ceiling, so a column has at most two
+    million of them whatever it holds.
     """
     size = F.least(F.floor(F.log1p(F.abs(value)) * resolution), F.lit(_BUCKET_CEILING))
     return (F.signum(value) * size).cast("long")
 
 
+def crowded_values(df: DataFrame, value: str, groups: Sequence[str] = ()) -> Column:
+    """A scalar struct: `buckets`, the value buckets that hold many distinct values, and `cuts`, values drawn from those.
+
+    Values (with their group labels, where given) are hashed into cells, and the
+    value of the smallest hash is drawn from each: a uniform draw of distinct
+    values that is merged from partial draws, reads the rows once, shuffles at
+    most `CELLS` rows a task and gives the same values on every run. Both arrays
+    ascend and are bounded: 100 buckets, `CELLS` cuts.
+    """
+    h = F.xxhash64(*groups, value)
+    drawn = df.groupBy(F.pmod(h, F.lit(CELLS)).alias("_cell")).agg(F.min_by(value, h).alias("_cut"))
+    per_bucket = drawn.groupBy(value_bucket(F.col("_cut")).alias("_k")).agg(F.collect_set("_cut").alias("_cuts"))
+    return (
+        per_bucket.where(F.size("_cuts") >= CROWDED)
+        .agg(
+            F.struct(
+                F.sort_array(F.collect_list("_k")).alias("buckets"),
+                F.sort_array(F.flatten(F.collect_list("_cuts"))).alias("cuts"),
+            )
+        )
+        .scalar()
+    )
+
+
+def _cuts_below(value: Column, cuts: Column) -> Column:
+    """How many of the ascending `cuts` lie below the value, found by halving."""
+    steps = F.array(*[F.lit(1 << k) for k in range(CELLS.bit_length(), -1, -1)])
+    # the value goes in as an argument: an attribute held only by a lambda escapes the optimiser's own checks
+    start = F.struct(F.lit(0).alias("at"), value.alias("v"))
+
+    def halve(now: Column, step: Column) -> Column:
+        after = now["at"] + step
+        at = F.when(F.get(cuts, after - 1) < now["v"], after).otherwise(now["at"])
+        return F.struct(at.alias("at"), now["v"].alias("v"))
+
+    return F.aggregate(steps, start, halve, lambda now: now["at"])
+
+
+def with_bucket(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
+    """Add `_b`, an integer that never decreases as the value grows and is never null.
+
+    However close the values lie, a bucket holds about a hundredth of the
+    distinct values at most; only rows of crowded buckets look for their cut.
+    """
+    first = value_bucket(F.col(value))
+    # a column first, as a subquery may not stand inside a lambda; the optimiser puts it back in place
+    crowd = F.col("_crowd")
+    among = F.when(F.array_contains(crowd["buckets"], first), _cuts_below(F.col(value), crowd["cuts"])).otherwise(0)
+    bucket = F.coalesce(first * (2 * CELLS) + among, F.lit(0))
+    return df.withColumn("_crowd", crowded_values(df, value, groups)).withColumn("_b", bucket).drop("_crowd")
+
+
 def present(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Rows where the value and every group label are known."""
     kept = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
@@ -53,13 +111,10 @@ def running_counts(
         present(df, value, groups)
         .groupBy(*groups, F.col(value).cast("double").alias("value"))
         .agg(*[counts[n].alias(n) for n in names])
-        .withColumn("_b", value_bucket(F.col("value")))
-        # stated here, so that the join below adds it to neither side alone
-        # and both sides stay the same plan, which is run once
-        .where(F.col("_b").isNotNull())
     )
+    freq = with_bucket(freq, "value", groups)
     per_bucket = freq.groupBy(*groups, "_b").agg(*[F.sum(n).alias(f"_{n}") for n in names])
-    # bounded: at most two million bucket rows per group
+    # bounded: about two million bucket rows per group
     ahead = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
     offsets = per_bucket.select(
@@ -97,18 +152,13 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per group (one row in all without groups).
 
-    The first pass counts rows per bucket; the second keeps only the buckets
-    that hold a wanted position and orders those. With `few_groups` the kept
+    The first pass looks for crowded buckets, the second counts rows per bucket, the
+    third keeps only the buckets that hold a wanted position and orders those. With `few_groups` the kept
     bucket list has at most two rows per quantile and label, so it is
     broadcast; otherwise it is joined on the group key like any table.
     """
     groups = list(groups)
-    rows = (
-        present(df, value, groups)
-        .select(*groups, F.col(value).cast("double").alias("_v"))
-        .withColumn("_b", value_bucket(F.col("_v")))
-        .where(F.col("_b").isNotNull())
-    )
+    rows = with_bucket(present(df, value, groups).select(*groups, F.col(value).cast("double").alias("_v")), "_v", groups)
     per_bucket = rows.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
     ahead = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     spans = per_bucket.select(

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starsift.operators import splits
-from starsift.operators.running import dense_ids, exact_quantiles, running_counts, value_bucket
+from starsift.operators.running import dense_ids, exact_quantiles, running_counts, with_bucket
 
 VALUES = st.lists(
     st.one_of(
@@ -57,8 +57,28 @@ def test_bucket_follows_order(spark):
         + [s * 10.0**e for e in range(-5, 12) for s in (-3, -1, 1, 2.5)]
     )
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    buckets = [r[0] for r in df.orderBy("x").select(value_bucket(F.col("x"))).collect()]
-    assert buckets == sorted(buckets)
+    rows = with_bucket(df, "x").orderBy("x").collect()
+    assert [r["_b"] for r in rows] == sorted(r["_b"] for r in rows)
+    assert with_bucket(df.where("x > 1e300 and x < 0"), "x").count() == 0
+
+
+def test_buckets_of_close_values_stay_small(spark):
+    # a million values within 1/1024 of each other, and one far away
+    df = spark.range(1_000_000).select((5 + F.col("id") * 1e-9).alias("x")).unionAll(spark.sql("SELECT -1e300D"))
+    counted = with_bucket(df, "x").groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
+    largest, n = counted.agg(F.max("n"), F.count(F.lit(1))).first()
+    assert largest < 10_000 and n > 3000
+    got = exact_quantiles(df, "x", {"m": 0.5}).first()["m"]
+    assert got == pytest.approx(5 + 499_999 * 1e-9, rel=1e-12)
+    again = with_bucket(df.repartition(5), "x").groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(again.collect()) == sorted(counted.collect())
+
+
+def test_buckets_are_shared_by_many_groups(spark):
+    # every group has values of its own range, so no group may fall into one bucket
+    df = spark.range(200_000).select((F.col("id") % 2).alias("g"), (F.col("id") % 2 * 1000 + F.col("id") * 1e-9).alias("x"))
+    counted = with_bucket(df, "x", ["g"]).groupBy("g", "_b").count()
+    assert counted.agg(F.max("count")).first()[0] < 2_000
 
 
 def test_groups_and_unknown_labels(spark):
