@@ -379,8 +379,8 @@ def _classifier(t: Tables):
 @query("m01_train_title_classifier")
 def _(t: Tables):
     model, parts = _classifier(t)
-    held = model.transform(parts.where(F.col("split") == "test"))
-    return E.class_report(held.withColumn("pred", F.col("prediction").cast("int")), "label", "pred")
+    held = model.score(parts.where(F.col("split") == "test"))
+    return E.class_report(held.withColumn("pred", (F.col("prob_digital") > 0.5).cast("int")), "label", "pred")
 
 
 @query("m02_score_products")
@@ -397,8 +397,8 @@ def _(t: Tables):
 
 @query("g04_strongest_terms")
 def _(t: Tables):
-    model, parts = _classifier(t)
-    return M.strongest_terms(M.term_weights(model, parts))
+    model, _ = _classifier(t)
+    return M.strongest_terms(M.term_weights(model))
 
 
 @query("t08_title_features")

@@ -26,8 +26,8 @@ from starsift.session import cut_lineage
 
 UNKNOWN_LANGUAGE = "unknown"
 GRAM = r"(?s)(?=(...))"
-#: Pieces of a language below this rate are left out of its profile; so a profile holds at most a million pieces.
-LEAST_PER_MILLION = 1.0
+#: Profile rows (piece and language) that are sent to every task; a larger profile is joined.
+PROFILE_ROWS = 4_000_000
 #: Characters of text scored at once.
 SCORED_CHARS = 1 << 20
 #: Hashed runs of needles that are sent to every task: bytes at most, and bytes counted for each.
@@ -81,13 +81,12 @@ def _grams(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
 
 
 def language_profiles(
-    labelled: DataFrame, text: str, lang: str, least_per_million: float = LEAST_PER_MILLION
+    labelled: DataFrame, text: str, lang: str, least_per_million: float = 0.0
 ) -> DataFrame:
-    """Every piece of each language that is frequent enough, and its weight over an unseen piece.
+    """Every piece of each language and its weight over an unseen piece, ln(1 + count per million pieces).
 
-    At most 1,000,000 / `least_per_million` rows per language, as rates sum to a
-    million. The weight is ln(1 + count per million pieces), so a piece outside
-    the profile weighs nothing.
+    A piece outside the profile weighs nothing. A caller may leave rare pieces
+    out by a least rate; by default none is, however large the table is.
     """
     counts = _grams(labelled, [lang], text).groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
@@ -108,7 +107,7 @@ def _gram_codes(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Profiles in array form; their size is bounded by the least rate of a piece."""
+    """Profiles in array form, for profiles measured as small (`PROFILE_ROWS`)."""
 
     languages: list[str]
     codes: np.ndarray
@@ -116,12 +115,13 @@ class LanguageModel:
 
     @staticmethod
     def from_profiles(profiles: DataFrame) -> LanguageModel:
-        rows = [(r["profile_lang"], r["gram"], r["weight"]) for r in profiles.toLocalIterator()]
-        languages = sorted({lang for lang, _, _ in rows})
-        codes = np.array(sorted({_gram_codes(g)[0] for _, g, _ in rows}), dtype=np.uint64)
+        rows = profiles.select("profile_lang", "gram", "weight").toArrow()
+        names = np.array(rows["profile_lang"].to_pylist(), dtype=object)
+        languages = sorted(set(names))
+        found = _gram_codes("".join(rows["gram"].to_pylist()))[::3] if len(names) else np.zeros(0, np.uint64)
+        codes, at = np.unique(found, return_inverse=True)
         weights = np.zeros((len(codes), len(languages)))
-        for lang, gram, weight in rows:
-            weights[np.searchsorted(codes, _gram_codes(gram)[0]), languages.index(lang)] = weight
+        weights[at, np.searchsorted(languages, names.astype(str))] = rows["weight"].to_numpy()
         return LanguageModel(languages, codes, weights)
 
     def best(self, texts: Sequence[str]) -> list[str]:
@@ -159,27 +159,66 @@ def language_of(text: Column, model: LanguageModel) -> Column:
     return F.coalesce(score(F.when(usable, F.lower(text))), F.lit(UNKNOWN_LANGUAGE))
 
 
+def language_by_join(df: DataFrame, key: Sequence[str], text: str, profiles: DataFrame, column: str = "language") -> DataFrame:
+    """(key, language) as `language_of` gives it, for profiles of any size: pieces are counted in each text and joined.
+
+    `key` must be unique. Only hashes of pieces and counts are shuffled, never texts. A piece that many texts
+    hold is split by the adaptive join.
+    """
+    usable = df.where((F.length(strip_spaces(F.col(text))) >= 3) & F.col(text).rlike("[a-zA-Z]"))
+    counted = _grams(usable, key, text).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("_n"))
+    scores = (
+        counted.join(profiles.select("profile_lang", "gram", "weight"), "gram")
+        .groupBy(*key, "profile_lang")
+        .agg(F.round(F.sum(F.col("_n") * F.col("weight")), 6).alias("_s"))
+        # a piece weighs something in its own language, but it may round to nothing
+        .where(F.col("_s") > 0)
+        .groupBy(*key)
+        .agg(F.max(F.struct("_s", "profile_lang"))["profile_lang"].alias(column))
+    )
+    return df.select(*key).join(scores, list(key), "left").withColumn(column, F.coalesce(column, F.lit(UNKNOWN_LANGUAGE)))
+
+
+def with_language(
+    df: DataFrame, key: Sequence[str], text: str, profiles: DataFrame, column: str = "language",
+    most_rows: int = PROFILE_ROWS,
+) -> DataFrame:
+    """Add the language of each text. Profiles are stored and counted: small ones go to the texts as arrays, larger
+    ones are joined by piece, with the same result. `key` must be unique and not null.
+    """
+    stored = cut_lineage(profiles)
+    if stored.count() <= most_rows:
+        return df.withColumn(column, language_of(F.col(text), LanguageModel.from_profiles(stored)))
+    return df.join(language_by_join(df, key, text, stored, column), list(key))
+
+
 # --- translation and rewriting --------------------------------------------------
 
 
 def apply_translations(
     df: DataFrame, translations: DataFrame, text: str = "review_text", language: str = "language"
 ) -> DataFrame:
-    """Replace non-English texts found in a (text_hash, language, text_en) table; others stay."""
-    table = translations.select(
-        "text_hash", F.col("language").alias("_lang"), F.col("text_en").alias("_en")
+    """Replace non-English texts found in a (text_hash, language, text_en) table; others stay.
+
+    Of several entries for a text the smallest translation counts, so no review
+    is multiplied. The rows are read once, by one join: those that need no
+    translation carry a negative key of their own spread, which no entry has.
+    """
+    table = (
+        translations.where(F.col("text_hash").isNotNull() & F.col("language").isNotNull())
+        .groupBy(F.col("text_hash").alias("_h"), F.col("language").alias("_lang"))
+        .agg(F.min("text_en").alias("_en"))
+    )
+    foreign = F.coalesce(~F.col(language).isin("en", UNKNOWN_LANGUAGE) & F.col(text).isNotNull(), F.lit(False))
+    spread = F.concat(F.lit("-"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
+    keyed = df.withColumn("_h", F.when(foreign, F.md5(text)).otherwise(spread)).withColumn(
+        "_lang", F.when(foreign, F.col(language)).otherwise("")
     )
-    foreign = ~F.col(language).isin("en", UNKNOWN_LANGUAGE)
-    keyed = df.withColumn("_h", F.when(foreign, F.md5(text)))
-    # texts that need no translation carry no key, so they cannot pile up on one
-    plain = keyed.where(F.col("_h").isNull()).drop("_h")
-    moved = (
-        keyed.where(F.col("_h").isNotNull())
-        .join(table, (F.col("_h") == F.col("text_hash")) & (F.col(language) == F.col("_lang")), "left")
+    return (
+        keyed.join(table, ["_h", "_lang"], "left")
         .withColumn(text, F.coalesce("_en", text))
-        .drop("_h", "text_hash", "_lang", "_en")
+        .select(*df.columns)
     )
-    return plain.unionByName(moved)
 
 
 def accept_rewrite(original: Column, rewritten: Column, language: Column, min_words: int = 5) -> Column:

@@ -48,25 +48,25 @@ def catalogue(df: DataFrame, categories: Sequence[str] = P.CATALOGUE_CATEGORIES)
 def with_row_id(df: DataFrame, copies_per_task: int = COPIES_PER_TASK) -> DataFrame:
     """Add a unique, repeatable `row_id`: a digest of the row and its occurrence number.
 
-    Equal rows are counted first and numbered afterwards, in blocks, so that a
-    row repeated very often is spread over many tasks.
+    Equal rows are counted and numbered where they were counted; only rows
+    repeated more than `copies_per_task` times are cut into blocks, which are
+    spread over many tasks.
     """
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     parts = [
         F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns
     ]
-    blocks = counted.select(
-        *columns,
-        F.sha2(F.concat_ws("\x1f", *parts), 256).alias("_digest"),
-        "_n",
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / copies_per_task))).alias("_block"),
-    ).repartition("_digest", "_block")
-    first = F.col("_block") * copies_per_task + 1
-    last = F.least((F.col("_block") + 1) * copies_per_task, F.col("_n"))
-    return blocks.select(
-        *columns, "_digest", F.explode(F.sequence(first, last)).alias("_copy")
-    ).select(F.concat_ws("-", "_digest", F.col("_copy").cast("string")).alias("row_id"), *columns)
+    keyed = counted.select(*columns, F.sha2(F.concat_ws("\x1f", *parts), 256).alias("_digest"), "_n")
+    few = keyed.where(F.col("_n") <= copies_per_task).withColumn("_from", F.lit(1).cast("bigint"))
+    blocks = (
+        keyed.where(F.col("_n") > copies_per_task)
+        .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), F.lit(copies_per_task))))
+        .repartition("_digest", "_from")
+        .withColumn("_n", F.least(F.col("_from") + (copies_per_task - 1), F.col("_n")))
+    )
+    numbered = few.unionByName(blocks).select(*columns, "_digest", F.explode(F.sequence("_from", "_n")).alias("_copy"))
+    return numbered.select(F.concat_ws("-", "_digest", F.col("_copy").cast("string")).alias("row_id"), *columns)
 
 
 def labelled_sentences(df: DataFrame, text: str = "sentence_for_model") -> DataFrame:

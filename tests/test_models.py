@@ -1,6 +1,10 @@
 """Metrics, threshold tuning, the gate and trained models."""
 
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
 from starsift.catalog import QUERIES
@@ -9,6 +13,7 @@ from starsift.operators import labels as L
 from starsift.operators import metrics as E
 from starsift.operators import models as M
 from starsift.plans.jobs import training_frames
+from starsift.session import cut_lineage
 from starsift.sources.readers import labelled_sentences
 from starsift.sources.writers import read_thresholds, save_thresholds
 
@@ -152,15 +157,61 @@ def test_title_classifier(spark):
     got = {r["parent_asin"]: r for r in out.collect()}
     assert got["a"]["pred_label"] == 1 and got["b"]["pred_label"] == 0
     assert [r["parent_asin"] for r in M.device_products(out).collect()] == ["a"]
-    top = M.strongest_terms(M.term_weights(model, df), 3, 2).collect()
+    top = M.strongest_terms(M.term_weights(model), 3, 2).collect()
     assert {r["term"] for r in top if r["side"] == "high"} <= {
         "gaming", "laptop", "computer", "model", "gaming laptop", "laptop computer", "computer model"
     }
 
 
+def vectors_by_vocabulary(df, text, min_docs=M.MIN_DOCS):
+    """The plain form of the title features: a vocabulary on the driver, and vectors."""
+    terms = Pipeline(
+        stages=[*M.term_stages(text), CountVectorizer(inputCol="terms", outputCol="_tf", minDF=min_docs, vocabSize=1 << 30)]
+    ).fit(df)
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(terms.transform(df)).idf.toArray()
+    weigh = ElementwiseProduct(scalingVec=DenseVector(idf + 1.0), inputCol="_tf", outputCol="_weighted")
+    return PipelineModel([*terms.stages, weigh, Normalizer(inputCol="_weighted", outputCol="features", p=2.0)])
+
+
+def test_title_model_equals_the_vector_form(spark, sf_dir):
+    """Terms, coefficients and probabilities against a vocabulary and vectors, with repeated and odd titles."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id")
+    df = docs.select(F.substring("text", 1, 200).alias("title"), F.col("quality").alias("label"))
+    df = cut_lineage(df.unionAll(df.limit(9)).unionAll(spark.createDataFrame([("", 0), ("42", 1), ("zz", 1)], df.schema)))
+    odd = df.unionAll(spark.createDataFrame([(None, 1), ("words without label", None)], df.schema))
+    model = M.train_title_classifier(odd)
+    plain = vectors_by_vocabulary(df, "title")
+    n, k = df.count(), dict(df.groupBy("label").count().collect())
+    weight = F.when(F.col("label") == 1, n / (2 * k[1])).otherwise(n / (2 * k[0]))
+    head = LogisticRegression(weightCol="weight", maxIter=M.MAX_ITERATIONS, regParam=1 / n, standardization=False).fit(
+        plain.transform(df).withColumn("weight", weight)
+    )
+    names = next(s.vocabulary for s in plain.stages if hasattr(s, "vocabulary"))
+    got = {r["term"]: r["coefficient"] for r in M.term_weights(model).collect()}
+    assert set(got) == set(names) and len(names) > 20
+    assert [got[t] for t in names] == pytest.approx(list(head.coefficients.toArray()), abs=2e-3)
+    want = [(r["title"], r["probability"][1]) for r in head.transform(plain.transform(df)).collect()]
+    scored = model.score(odd).collect()
+    assert len(scored) == n + 2
+    probabilities = {r["title"]: r["prob_digital"] for r in scored}
+    assert [probabilities[t] for t, _ in want] == pytest.approx([p for _, p in want], abs=1e-3)
+    # a title without a known term, and no title, have the probability of the intercept
+    assert probabilities["42"] == probabilities[None] == probabilities[""]
+    plan = model.score(odd)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_title_model_without_terms_or_rows(spark):
+    one = spark.createDataFrame([("rare words", 1), ("other things", 0)], "title string, label int")
+    model = M.train_title_classifier(one)
+    assert model.terms.count() == 0 and {r["prob_digital"] for r in model.score(one).collect()} == {0.5}
+    with pytest.raises(ValueError, match="no labelled title"):
+        M.train_title_classifier(one.where("false"))
+
+
 def test_title_features_are_unit_vectors_of_frequent_terms(spark):
     df = titles(spark).unionAll(spark.createDataFrame([("unicorn laptop", 1)], "title string, label int"))
-    model = M.fit_title_features(df, "title")
+    model = vectors_by_vocabulary(df, "title")
     terms = next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
     assert "unicorn" not in terms and "gaming laptop" in terms and "7" not in terms
     v = model.transform(df).first()["features"]
@@ -169,8 +220,8 @@ def test_title_features_are_unit_vectors_of_frequent_terms(spark):
 
 def test_title_term_rows_equal_the_vectors(spark):
     df = titles(spark).unionAll(spark.createDataFrame([("unicorn laptop laptop", 1), ("", 0), ("x", 0)], "title string, label int"))
-    df = df.coalesce(1).withColumn("id", F.monotonically_increasing_id()).localCheckpoint()
-    model = M.fit_title_features(df, "title")
+    df = cut_lineage(df.coalesce(1).withColumn("id", F.monotonically_increasing_id()))
+    model = vectors_by_vocabulary(df, "title")
     names = next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
     expected = {}
     for r in model.transform(df).collect():
