@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starsift.catalog.registry import ORACLE, QUERIES
 from starsift.catalog import (  # noqa: F401  (registration)
+    io_queries,
     label_queries,
     model_queries,
     review_queries,

@@ -78,36 +78,29 @@ def combo_labels(pairs: Column) -> Column:
     )
 
 
-def with_rarest_combo(df: DataFrame) -> DataFrame:
-    """The row's least frequent combined label (ties by name), as the stratum for splitting.
+def with_rarest_combo(df: DataFrame, key: str = "row_id") -> DataFrame:
+    """The row's least frequent combined label (ties by name), as the stratum for splitting; null without labels.
 
-    The label list is a small class list; its counts reach the rows as one map
-    value, so rows are not shuffled.
+    Labels are counted and joined to (key, label) rows, of which the rarest one of
+    a key remains; how the counts reach them is left to adaptive execution, which
+    knows their size. `key` must be unique and not null.
     """
     labelled = df.withColumn("combo_labels", combo_labels(F.col("pairs")))
-    counts = (
-        labelled.select(F.explode(F.array_distinct("combo_labels")).alias("combo"))
-        .groupBy("combo")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("combo", "n"))))
-        .scalar()
-    )
-    ranked = F.transform(
-        "combo_labels",
-        lambda c: F.struct(F.element_at(F.col("_counts"), c).alias("n"), c.alias("combo")),
-    )
-    return (
-        labelled.withColumn("_counts", counts)
-        .withColumn("rarest_combo", F.array_min(ranked)["combo"])
-        .drop("_counts")
+    held = labelled.select(key, F.explode(F.array_distinct("combo_labels")).alias("combo"))
+    counts = held.groupBy("combo").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (
+        held.join(counts, "combo")
+        .groupBy(key)
+        .agg(F.min(F.struct("_n", "combo"))["combo"].alias("rarest_combo"))
     )
+    return labelled.join(rarest, key, "left")
 
 
 def split_technical(
     df: DataFrame, key: str = "row_id", shares: dict[str, float] | None = None, seed: int = SEED
 ) -> DataFrame:
     """Train/val/test of technical rows, each rarest combined label divided exactly."""
-    return stratified_split(with_rarest_combo(df), [key], ["rarest_combo"], shares or SHARES, seed)
+    return stratified_split(with_rarest_combo(df, key), [key], ["rarest_combo"], shares or SHARES, seed)
 
 
 def split_rest(

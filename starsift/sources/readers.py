@@ -15,7 +15,7 @@ COPIES_PER_TASK = 1_000_000
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Quoted CSV with a header; a quoted value may hold line breaks."""
+    """Quoted CSV with a header; a quoted value may hold line breaks, and an empty value, quoted or not, is null."""
     return spark.read.schema(schema).options(**_CSV).csv(path)
 
 
