@@ -359,6 +359,17 @@ def _(t: Tables):
 # --- M1-M5: trained models ------------------------------------------------------------------
 
 
+# Those English stop words of Spark's list that are plain words.
+STOP_WORDS = """
+    me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it
+    its itself they them their theirs themselves what which who whom this that these those am is are was were be
+    been being have has had having do does did doing an the and but if or because as until while of at by for with
+    about against between into through during before after above below to from up down in out on off over under
+    again further then once here there when where why how all any both each few more most other some such no nor not
+    only own same so than too very can will just don should now cannot could ought would
+""".split()
+
+
 def _titles(t: Tables):
     docs = t.read("documents").select("doc_id", F.col("text").alias("title"), "lang")
     return t.read("labels").select("doc_id", F.col("quality").alias("label")).join(docs, "doc_id")
@@ -401,9 +412,24 @@ def _(t: Tables):
     return M.strongest_terms(M.term_weights(model))
 
 
-@query("t08_title_features")
+# a word is a whole run of letters, digits and '_' that holds nothing but two or more plain letters
+T08 = rf"""WITH words AS (
+  SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{Nd}}_]+'),
+    lambda w: regexp_full_match(w, '[a-z]{{2,}}') AND w NOT IN ({", ".join(f"'{w}'" for w in STOP_WORDS)})) AS ws
+  FROM labels JOIN documents USING (doc_id)),
+counts AS (
+  SELECT doc_id, term, count(*) AS n FROM (
+    SELECT doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS term FROM words)
+  GROUP BY 1, 2),
+kept AS (SELECT term, count(*) AS document_count FROM counts GROUP BY 1 HAVING count(*) >= 5),
+weighted AS (
+  SELECT *, n * (ln(((SELECT count(*) FROM words) + 1) / (document_count + 1)) + 1) AS w FROM counts JOIN kept USING (term))
+SELECT doc_id, term, n AS count, document_count, {rnd("w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))")} AS weight FROM weighted"""
+
+
+@query("t08_title_features", T08)
 def _(t: Tables):
-    return M.title_term_weights(_titles(t), "doc_id", "title")
+    return rounded(M.title_term_weights(_titles(t), "doc_id", "title"), "weight")
 
 
 def _trained(t: Tables):

@@ -66,7 +66,7 @@ def prepare_columns(
 def prepared_reviews(
     df: DataFrame,
     key: Sequence[str],
-    model: text.LanguageModel,
+    profiles: DataFrame,
     lexicon: DataFrame,
     how: Preparation = Preparation(),
     overrides: DataFrame | None = None,
@@ -75,7 +75,7 @@ def prepared_reviews(
 ) -> DataFrame:
     """The prepared table: columns, language, translated text, sentiment and trade-off flag."""
     base = prepare_columns(df, how, overrides, denied)
-    spoken = base.withColumn("language", text.language_of(F.col("review_text"), model))
+    spoken = text.with_language(base, key, "review_text", profiles)
     if translations is not None:
         spoken = text.apply_translations(spoken, translations)
     scores = text.lexicon_sentiment(
@@ -97,12 +97,13 @@ class SentencePools:
 
 
 def sentence_pools(
-    reviews: DataFrame, labelled: DataFrame, model: text.LanguageModel, key: str = "review_id",
+    reviews: DataFrame, labelled: DataFrame, profiles: DataFrame, key: str = "review_id",
     text_column: str = "review_text", context: str = "review_context",
 ) -> SentencePools:
     """Clean, keep English, remove labelled reviews, split, normalise and de-duplicate."""
     cleaned = reviews.withColumn(text_column, clean_text(F.col(text_column), once=True))
-    english = cleaned.where(text.language_of(F.col(text_column), model) == "en")
+    spoken = text.with_language(cleaned, [key], text_column, profiles, "_language")
+    english = spoken.where(F.col("_language") == "en").drop("_language")
     unleaked = text.drop_labelled_texts(english, labelled, text_column, context)
     pool = text.distinct_model_sentences(
         text.model_sentences(unleaked, text_column), [key, "sentence_no"]

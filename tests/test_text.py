@@ -70,6 +70,28 @@ def test_language(spark):
     assert apply(spark, texts, lambda c: X.language_of(c, model)) == [
         "en", "de", "unknown", "unknown", "unknown", "unknown", "unknown", "en",
     ]
+    empty = X.LanguageModel.from_profiles(X.language_profiles(train.where("false"), "t", "lang"))
+    assert apply(spark, ["the hat"], lambda c: X.language_of(c, empty)) == ["unknown"]
+
+
+def test_language_by_join_equals_the_arrays(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = spark.createDataFrame([(-1, None), (-2, "ab"), (-3, "12345"), (-4, "zzz zzz"), (-5, ""), (-6, "\U0001f642\U0001f642 a the")], "doc_id long, text string")
+    texts = docs.select("doc_id", "text").unionAll(odd)
+    profiles = X.language_profiles(docs, "text", "lang")
+    by_array = X.with_language(texts, ["doc_id"], "text", profiles)
+    by_join = X.with_language(texts, ["doc_id"], "text", profiles, most_rows=0)
+    got = {r["doc_id"]: r["language"] for r in by_join.collect()}
+    assert got == {r["doc_id"]: r["language"] for r in by_array.collect()} and len(got) == texts.count()
+    assert len(set(got.values())) >= 4 and got[-1] == got[-2] == got[-3] == got[-5] == "unknown"
+
+
+def test_profiles_keep_every_piece_of_a_large_table(spark):
+    """A piece seen once among two million stays in the profile."""
+    many = spark.range(2000).select(F.lit("en").alias("lang"), F.expr("concat(repeat('abc', 333), if(id = 7, 'xyz', ''))").alias("t"))
+    kept = {r["gram"] for r in X.language_profiles(many, "t", "lang").collect()}
+    assert kept == {"abc", "bca", "cab", "bcx", "cxy", "xyz"}
+    assert X.language_profiles(many, "t", "lang", least_per_million=1.0).count() == 3
 
 
 def test_sentiment_rules(spark):
@@ -152,6 +174,17 @@ def test_translations(spark):
     table = df.where("id = 1").select(F.md5("review_text").alias("text_hash"), "language", F.lit("hello").alias("text_en"))
     got = {r["id"]: r["review_text"] for r in X.apply_translations(df, table).collect()}
     assert got == {1: "hello", 2: "hola", 3: "hi", 4: "ciao", 5: None}
+    # several entries for one text keep one review, nulls in the table meet nothing, repeated rows stay
+    more = table.unionAll(table).unionAll(table.withColumn("text_en", F.lit("hallo"))).unionAll(
+        spark.createDataFrame([(None, "es", "no"), ("x", None, "no")], table.schema)
+    )
+    twice = df.unionAll(df).unionAll(spark.createDataFrame([(6, "sin idioma", None)], df.schema))
+    rows = X.apply_translations(twice, more).collect()
+    assert sorted((r["id"], r["review_text"] or "") for r in rows) == sorted(
+        [(1, "hallo"), (2, "hola"), (3, "hi"), (4, "ciao"), (5, "")] * 2 + [(6, "sin idioma")]
+    )
+    plan = X.apply_translations(df, more)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan.split("Aggregate")[0]
 
 
 def test_accept_rewrite(spark):
