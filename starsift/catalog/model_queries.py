@@ -452,27 +452,29 @@ def _(t: Tables):
     )
 
 
-def _sentiment(t: Tables):
+def _held_out(frames) -> DataFrame:
+    return frames.val.select("row_id").unionAll(frames.test.select("row_id"))
+
+
+def _sentiment(t: Tables, frames):
+    """The sentiment model fitted on the triples of the training split, and all triples."""
     triples = L.sentiment_triples(L.with_pairs(t.sentences))
-    return M.train_sentiment_model(triples, L.class_weights(triples)), triples
+    seen = cut_lineage(triples.join(_held_out(frames), "row_id", "left_anti"))
+    return M.train_sentiment_model(seen, L.class_weights(seen)), triples
 
 
 @query("m05_aspect_sentiment")
 def _(t: Tables):
-    score, triples = _sentiment(t)
-    return score(triples).select("row_id", "aspect", "label_idx", "p_positive")
-
-
-def _held_out(frames) -> DataFrame:
-    return frames.val.select("row_id").unionAll(frames.test.select("row_id"))
+    frames = jobs.training_frames(t.order_sentences)
+    score, triples = _sentiment(t, frames)
+    held = triples.join(frames.test.select("row_id"), "row_id", "left_semi")
+    return score(held).select("row_id", "aspect", "label_idx", "p_positive")
 
 
 @query("m07_score_sentences")
 def _(t: Tables):
     aspects, frames = _trained(t)
-    triples = L.sentiment_triples(L.with_pairs(t.sentences))
-    triples = cut_lineage(triples.join(_held_out(frames), "row_id", "left_anti"))
-    sentiment = M.train_sentiment_model(triples, L.class_weights(triples))
+    sentiment, _ = _sentiment(t, frames)
     cuts = M.Thresholds(0.5, 0.5, {a: 0.5 for a in aspects.aspects}, 0.65)
     out = M.score_texts(
         frames.test.select("row_id", "sentence_for_model"), ["row_id"], "sentence_for_model", aspects, sentiment, cuts
