@@ -471,12 +471,36 @@ def _(t: Tables):
     return score(held).select("row_id", "aspect", "label_idx", "p_positive")
 
 
-@query("m07_score_sentences")
-def _(t: Tables):
+def _tuned_models(t: Tables):
+    """Both models fitted on the training split, their cuts tuned on the validation split, stored and read back; all frames."""
     aspects, frames = _trained(t)
-    sentiment, _ = _sentiment(t, frames)
-    cuts = M.Thresholds(0.5, 0.5, {a: 0.5 for a in aspects.aspects}, 0.65)
+    sentiment, triples = _sentiment(t, frames)
+    seen = triples.join(frames.val.select("row_id"), "row_id", "left_semi")
+    target = f"{shared_folder(t.spark).rstrip('/')}/thresholds-{uuid.uuid4().hex}"
+    save_thresholds(jobs.tuned_thresholds(frames.val, seen, aspects, sentiment), target)
+    return aspects, sentiment, read_thresholds(t.spark, target), frames
+
+
+@query("a11_model_thresholds")
+def _(t: Tables):
+    return _tuned_models(t)[2]
+
+
+def _scored_test(frames, aspects, sentiment, cuts: M.Thresholds) -> DataFrame:
     out = M.score_texts(
         frames.test.select("row_id", "sentence_for_model"), ["row_id"], "sentence_for_model", aspects, sentiment, cuts
     )
     return out.select("row_id", "is_related", "is_technical", "sentiment_aspects", "mentioned_aspects")
+
+
+@query("m07_score_sentences")
+def _(t: Tables):
+    aspects, frames = _trained(t)
+    sentiment, _ = _sentiment(t, frames)
+    return _scored_test(frames, aspects, sentiment, M.Thresholds(0.5, 0.5, {a: 0.5 for a in aspects.aspects}, 0.65))
+
+
+@query("m07_score_at_tuned_cuts")
+def _(t: Tables):
+    aspects, sentiment, thresholds, frames = _tuned_models(t)
+    return _scored_test(frames, aspects, sentiment, M.Thresholds.from_table(thresholds))

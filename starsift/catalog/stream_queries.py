@@ -36,9 +36,11 @@ def _events(t: Tables) -> DataFrame:
 
 
 def _run(t: Tables, stream: DataFrame) -> DataFrame:
-    """Write what the stream gives, then read it; folders lie in the cluster's shared folder."""
+    """Write what the stream gives, then read it; folders lie in the cluster's shared folder. The state goes at the end."""
     base = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
     S.run_available(stream, f"{base}/out", f"{base}/state").awaitTermination()
+    state = t.spark._jvm.org.apache.hadoop.fs.Path(f"{base}/state")
+    state.getFileSystem(t.spark._jsc.hadoopConfiguration()).delete(state, True)
     return t.spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
@@ -57,6 +59,21 @@ def _(t: Tables):
     return _run(t, arrived.select("user_id", "event_type"))
 
 
+@query(
+    "x02_runs_of_arrivals",
+    """WITH e AS (
+      SELECT user_id, event_type, ts, CAST(coalesce(ts - lag(ts) OVER w > INTERVAL 2 DAY, true) AS INTEGER) AS fresh
+      FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts)),
+    r AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id, event_type ORDER BY ts) AS run FROM e)
+    SELECT user_id, event_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_at, count(*) AS n
+    FROM r GROUP BY user_id, event_type, run HAVING max(ts) + INTERVAL 2 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+)
+def _(t: Tables):
+    out = _run(t, S.runs_of_arrivals(_events(t), ["user_id", "event_type"], "ts"))
+    first = F.date_format(F.to_utc_timestamp("first_at", F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+    return out.withColumn("first_at", first)
+
+
 @query(
     "x03_keyword_windows",
     " UNION ALL ".join(

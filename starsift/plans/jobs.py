@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starsift.functions import patterns as P
 from starsift.functions.textclean import clean_text
-from starsift.operators import clean, dedupe, labels, text
+from starsift.operators import clean, dedupe, labels, metrics, text
+from starsift.operators.models import AspectModel
 from starsift.operators.splits import SEED, sample_rows
 from starsift.session import cut_lineage
 from starsift.sources.readers import labelled_sentences
@@ -174,6 +176,53 @@ def training_frames(
     return TrainingFrames(final, held_out("val"), held_out("test"), vocabulary, rare)
 
 
+def tuned_thresholds(
+    val: DataFrame, triples: DataFrame, aspects: AspectModel, sentiment: Callable[[DataFrame], DataFrame],
+    text_column: str = "sentence_for_model",
+) -> DataFrame:
+    """(head, class, threshold) from the models' own probabilities on validation rows.
+
+    The heads and aspects are tuned on the kind of rows they were fitted on: all rows, related rows, technical rows
+    with labels; the confidence on the (sentence, aspect) triples. What no row speaks for keeps the default.
+    """
+    scored = cut_lineage(
+        aspects.probabilities(val, text_column).select(
+            "is_related", "is_technical", "has_aspect_label", "aspect_labels", "p_related", "p_technical", "p_aspects"
+        )
+    )
+    related = F.col("is_related") == 1
+    each = scored.where(related & (F.col("is_technical") == 1) & F.col("has_aspect_label")).select(
+        F.inline(
+            F.transform(
+                "p_aspects",
+                lambda a, i: F.struct(
+                    a["aspect"].alias("class"), a["prob"].alias("p"), (F.get("aspect_labels", i) > 0.5).cast("int").alias("y")
+                ),
+            )
+        )
+    )
+    said = sentiment(triples).select(
+        F.col("label_idx").alias("y"),
+        (F.col("p_positive") > 0.5).cast("int").alias("z"),
+        F.greatest(F.col("p_positive"), 1 - F.col("p_positive")).alias("conf"),
+    )
+    names = val.sparkSession.createDataFrame([(a,) for a in aspects.aspects], "class string")
+    default = F.lit(metrics.DEFAULT_THRESHOLD)
+    parts = {
+        "h1": metrics.tune_head(scored, "is_related", "p_related"),
+        "h2": metrics.tune_head(scored.where(related), "is_technical", "p_technical"),
+        "h3": names.join(metrics.tune_aspects(each, "class", "y", "p"), "class", "left").withColumn(
+            "threshold", F.coalesce("threshold", default)
+        ),
+        "m2": metrics.tune_confidence(said, "y", "z", "conf"),
+    }
+    rows = [
+        df.select(F.lit(head).alias("head"), (F.col("class") if head == "h3" else F.lit("")).alias("class"), "threshold")
+        for head, df in parts.items()
+    ]
+    return reduce(DataFrame.unionAll, rows)
+
+
 def domain_texts(
     unlabelled: DataFrame, held_out: DataFrame, train: DataFrame, sample: int = DOMAIN_SAMPLE,
     text_column: str = "sentence_for_model", seed: int = SEED,

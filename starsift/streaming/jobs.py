@@ -26,6 +26,19 @@ def first_arrivals(
     return stream.withWatermark(time, within).dropDuplicatesWithinWatermark(list(key))
 
 
+def runs_of_arrivals(
+    stream: DataFrame, key: Sequence[str], time: str, gap: str = "2 days", late: str = "1 hour"
+) -> DataFrame:
+    """(key, first_at, n): each run of arrivals of a key in which none comes more than `gap` after the one before.
+
+    A run is emitted, and leaves the state, once the watermark passes its last arrival by `gap`; a key that comes
+    back later is seen again. State grows with the keys of the last `gap`, not with the stream. Rows without
+    a time are left out; keys may be null.
+    """
+    runs = stream.withWatermark(time, late).groupBy(F.session_window(time, gap), *key)
+    return runs.agg(F.count(F.lit(1)).alias("n")).select(*key, F.col("session_window.start").alias("first_at"), "n")
+
+
 def keyword_windows(
     stream: DataFrame, time: str, text: str, keywords: Mapping[str, str],
     width: str = "1 day", late: str = "1 hour",

@@ -96,6 +96,20 @@ def test_stream_first_arrivals(spark, tmp_path):
     assert sorted(r["k"] for r in spark.read.schema(df.schema).parquet(target).collect()) == [1, 2]
 
 
+def test_stream_sees_a_key_again_after_a_gap(spark, tmp_path):
+    days = [(1, "2024-01-01"), (1, "2024-01-02"), (1, "2024-01-09"), (None, "2024-01-03"), (2, "2024-01-20"), (3, None)]
+    df = spark.createDataFrame(days, "k int, t string").select("k", F.col("t").cast("timestamp").alias("ts"))
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for k in range(len(days)):
+        df.where("ts is null" if days[k][1] is None else F.col("ts") == F.lit(days[k][1]).cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    out = S.runs_of_arrivals(stream, ["k"], "ts", "2 days", "7 days")
+    S.run_available(out, target, str(tmp_path / "state")).awaitTermination()
+    got = {(r["k"], str(r["first_at"])[:10], r["n"]) for r in spark.read.schema(out.schema).parquet(target).collect()}
+    # the run of key 2 is still open when the source ends
+    assert got == {(1, "2024-01-01", 2), (1, "2024-01-09", 1), (None, "2024-01-03", 1)}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -12,7 +12,7 @@ from starsift.catalog.tables import Tables
 from starsift.operators import labels as L
 from starsift.operators import metrics as E
 from starsift.operators import models as M
-from starsift.plans.jobs import training_frames
+from starsift.plans.jobs import training_frames, tuned_thresholds
 from starsift.session import cut_lineage
 from starsift.sources.readers import labelled_sentences
 from starsift.sources.writers import read_thresholds, save_thresholds
@@ -144,6 +144,36 @@ def titles(spark, n=120):
     return spark.createDataFrame(rows, "title string, label int")
 
 
+def test_thresholds_from_the_models_own_probabilities(spark):
+    rows = [(i, int(i % 3 > 0), int(i % 3 == 2), i % 3 == 2, [float(i % 2), 0.0], i / 40) for i in range(40)]
+    val = spark.createDataFrame(rows, "row_id int, is_related int, is_technical int, has_aspect_label boolean, aspect_labels array<float>, p double")
+    triples = spark.createDataFrame([(i, i % 2) for i in range(40)], "row_id int, label_idx int")
+
+    class Given:
+        aspects = {"battery": None, "screen": None}
+
+        def probabilities(self, df, text):
+            named = [F.struct(F.lit(a).alias("aspect"), F.col("p").alias("prob")) for a in self.aspects]
+            return df.withColumns({"p_related": F.col("p"), "p_technical": 1 - F.col("p"), "p_aspects": F.array(*named)})
+
+    def sentiment(df):
+        return df.withColumn("p_positive", F.col("label_idx") * 0.8 + 0.1)
+
+    cuts = M.Thresholds.from_table(tuned_thresholds(val, triples, Given(), sentiment))
+
+    def best(pairs):
+        scores = [f_macro([y for y, _ in pairs], [int(p >= c) for _, p in pairs], 2.0) for c in E.HEAD_GRID]
+        return E.HEAD_GRID[max(range(len(scores)), key=lambda i: (round(scores[i], 12), -i))]
+
+    assert cuts.related == best([(r[1], r[5]) for r in rows])
+    assert cuts.technical == best([(r[2], 1 - r[5]) for r in rows if r[1]])
+    # no row speaks for the screen; every confidence is 0.9, so the first cut is as good as any
+    assert cuts.aspects["screen"] == E.DEFAULT_THRESHOLD and set(cuts.aspects) == {"battery", "screen"}
+    assert cuts.confidence == E.CONFIDENCE_GRID[0]
+    empty = M.Thresholds.from_table(tuned_thresholds(val.limit(0), triples.limit(0), Given(), sentiment))
+    assert empty == M.Thresholds(0.5, 0.5, {"battery": 0.5, "screen": 0.5}, E.DEFAULT_CONFIDENCE)
+
+
 def test_title_classifier(spark):
     df = titles(spark)
     model = M.train_title_classifier(df, max_iter=30)
@@ -247,6 +277,25 @@ def test_registered_models_score_the_test_split(spark, sf_dir):
     assert cut and sorted(found) == sorted(cut)
 
 
+def test_sentences_are_scored_at_the_stored_cuts(spark, sf_dir):
+    cuts = M.Thresholds.from_table(QUERIES["a11_model_thresholds"](spark, sf_dir))
+    p = QUERIES["m04_aspect_probabilities"](spark, sf_dir).collect()
+    assert set(cuts.aspects) == {r["aspect"] for r in p}
+    cut, near = set(), set()
+    for r in p:
+        over = [r["p_related"] - cuts.related, r["p_technical"] - cuts.technical, r["probability"] - cuts.aspects[r["aspect"]]]
+        if min(map(abs, over)) < 1e-6:
+            near.add((r["row_id"], r["aspect"]))
+        elif min(over) > 0:
+            cut.add((r["row_id"], r["aspect"]))
+    scored = QUERIES["m07_score_at_tuned_cuts"](spark, sf_dir).collect()
+    assert len(scored) == len({r["row_id"] for r in p})
+    said = [(r["row_id"], x["aspect"], x["confidence"]) for r in scored for x in r["sentiment_aspects"]]
+    found = {(i, a) for i, a, _ in said} | {(r["row_id"], a) for r in scored for a in r["mentioned_aspects"]}
+    assert cut and found - near == cut - near
+    assert all(c >= cuts.confidence - 1e-4 for _, _, c in said)
+
+
 def test_aspect_and_sentiment_models(spark):
     rows = []
     for i in range(60):

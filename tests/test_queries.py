@@ -10,7 +10,7 @@ from starsift.catalog import ORACLE, QUERIES
 # trained models, checked in test_models.py, and an order that SQL rows do not show
 NO_SQL = {
     "m01_train_title_classifier", "m02_score_products", "m03_device_products", "g04_strongest_terms",
-    "m04_aspect_probabilities", "m05_aspect_sentiment", "m07_score_sentences",
+    "m04_aspect_probabilities", "m05_aspect_sentiment", "m07_score_sentences", "a11_model_thresholds", "m07_score_at_tuned_cuts",
 }
 
 
