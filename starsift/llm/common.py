@@ -30,15 +30,19 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-#: Rows of a batch that goes to Python: texts and sets are long, so Spark's default of 10,000 fills memory.
-BATCH_ROWS = 1_000
-_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+#: Rows and bytes of a batch that goes to Python: texts and sets are long, so Spark's defaults fill memory.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+_BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", BATCH_ROWS),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", BATCH_BYTES),
+}
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Sets the rows of a batch for this session, unless it has a setting of its own; results do not depend on it."""
-    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    """Sets rows and bytes of a batch for this session, unless it has settings of its own; results do not depend on them."""
+    for setting, (default, bound) in _BATCH_SETTINGS.items():
+        if spark.conf.get(setting) == default:
+            spark.conf.set(setting, str(bound))
 
 
 def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
