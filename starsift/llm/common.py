@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starsift.session import shared_folder
+from starsift.session import bounded_batches, shared_folder
 
 #: Characters that separate words, as a regular expression class body.
 BLANKS = r"\x20\x09-\x0D"
@@ -30,21 +30,6 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-#: Rows and bytes of a batch that goes to Python: texts and sets are long, so Spark's defaults fill memory.
-BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
-_BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", BATCH_ROWS),
-    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", BATCH_BYTES),
-}
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Sets rows and bytes of a batch for this session, unless it has settings of its own; results do not depend on them."""
-    for setting, (default, bound) in _BATCH_SETTINGS.items():
-        if spark.conf.get(setting) == default:
-            spark.conf.set(setting, str(bound))
-
-
 def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As id_and_text, with the text as UTF-8 bytes for tasks in Python; null stays null."""
     bounded_batches(docs.sparkSession)

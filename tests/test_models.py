@@ -318,3 +318,27 @@ def test_aspect_and_sentiment_models(spark):
     assert [(a["aspect"], a["sentiment"]) for a in got[1]["sentiment_aspects"]] == [("battery", "Negative")]
     assert [(a["aspect"], a["sentiment"]) for a in got[2]["sentiment_aspects"]] == [("screen", "Positive")]
     assert not got[3]["is_related"] and got[3]["sentiment_aspects"] == []
+
+
+def test_title_steps_do_not_follow_the_rarity_of_terms(spark, monkeypatch):
+    """Terms of very different frequency: few passes over the titles, and the least value to many places."""
+    names = ["".join(chr(97 + d) for d in (i // 26, i % 26)) for i in range(200)]
+    rows = [(f"common c{names[i % 7]} " + (f"rare{names[i // 6]} " if i % 3 else "") + f"mid{names[i % 40]}", int(i * i % 11 < 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "title string, label int")
+    seen = []
+    plain = M._minimum
+
+    def counted(function, scale, start, max_iter):
+        def value_and_gradient(x):
+            out = function(x)
+            seen.append(out)
+            return out
+
+        return plain(value_and_gradient, scale, start, max_iter)
+
+    monkeypatch.setattr(M, "_minimum", counted)
+    model = M.train_title_classifier(df, min_docs=2)
+    assert model.terms.count() > 100 and len(seen) < 60
+    assert max(abs(seen[-1][1])) < 1e-5
+    one_class = M.train_title_classifier(df.where("label = 1"), min_docs=2)
+    assert one_class.intercept == float("inf") and {r["coefficient"] for r in one_class.terms.collect()} == {0.0}
