@@ -21,8 +21,6 @@ from starsift.llm.common import id_and_bytes, text_chunks, worker_memo
 
 #: Words in the transducer; the rest are merged when met.
 LEXICON_WORDS = 65_536
-#: Rows, about, whose words are counted to choose the transducer's: a documented bound that changes speed only.
-SAMPLE_ROWS = 20_000
 #: Runs and words a worker remembers, and runs it counts at once; a full memo is emptied, which costs time only.
 MEMO, COUNTED = 250_000, 200_000
 
@@ -257,9 +255,9 @@ def word_ids(word: str, vocabulary: Vocabulary) -> list[int]:
 
 
 def frequent_words(
-    docs: DataFrame, limit: int = LEXICON_WORDS, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame, limit: int = LEXICON_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> list[str]:
-    """At most `limit` words: the most frequent ones in the whole texts of about `sample_rows` drawn rows."""
+    """At most `limit` words: the most frequent ones in the whole texts of all rows, equal counts by word."""
 
     def run(batches):
         def flush(runs):
@@ -285,9 +283,7 @@ def frequent_words(
                 runs = Counter()
         yield from flush(runs)
 
-    share = min(1.0, sample_rows / max(docs.count(), 1))
-    drawn = id_and_bytes(docs, id_col, text_col).sample(share, 1)
-    totals = drawn.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    totals = id_and_bytes(docs, id_col, text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r.word for r in totals.orderBy(F.desc("n"), "word").limit(limit).collect()]
 
 
@@ -302,7 +298,7 @@ def encode_decode(
 ) -> DataFrame:
     """doc_id, ids array<int> and decoded string of every row, equal to the tokenizer library's for a word-end file.
 
-    `words` fills the transducer (by default the most frequent words of a bounded sample of `docs`); it changes speed,
+    `words` fills the transducer (by default the most frequent words of all of `docs`); it changes speed,
     never results. The file is at most a few MB (LEXICON_WORDS), sent to the executors and memory-mapped there. Decoding
     joins tokens with a space, special tokens kept, as the library does without a decoder. Null and empty texts give an
     empty list and an empty string; repeated rows stay repeated, long texts are encoded whole, a null id stays null and

@@ -28,7 +28,7 @@ from starsift.llm.shingle_join import Likeness, bitmap, linked_groups, most_comm
 from starsift.llm.token_counts import count_tokens, with_limit
 from starsift.llm.token_store import EliasFano, read_documents, store_tokens
 from starsift.llm.tree_search import nearest
-from starsift.llm.word_codec import Lexicon, MappedLexicon, digests, encode_decode
+from starsift.llm.word_codec import Lexicon, MappedLexicon, digests, encode_decode, frequent_words
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, n int, doc long, place int"
@@ -361,6 +361,14 @@ def test_word_codec(spark, sf_dir, docs, texts, empty, doubled):
     assert encode_decode(doubled, WORD).count() == doubled.count()
 
 
+def test_frequent_words_are_counted_in_all_rows(spark):
+    letters = F.translate(F.lpad(F.col("id").cast("string"), 5, "0"), "0123456789", "abcdefghij")
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(letters, F.when(F.col("id") % 2 == 0, " even").otherwise(" Odd odd")).alias("text"))
+    words = frequent_words(rows, 40_000)
+    assert len(words) == 30_002 and words[:3] == ["odd", "even", "aaaaa"]
+    assert frequent_words(rows, 2) == ["odd", "even"]
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): [k, k + 1] for k, w in enumerate(["tap", "taps", "top", "tops", "é", "", "stop", "stops"])}
     lexicon = Lexicon.build(words)
