@@ -1,7 +1,6 @@
 """Text cleaning, sentences, language, sentiment, leakage."""
 
 import math
-
 import random
 
 import pytest
@@ -193,3 +192,32 @@ def test_accept_rewrite(spark):
     df = spark.createDataFrame(rows, "a string, b string, l string")
     got = df.select(X.accept_rewrite(F.col("a"), F.col("b"), F.col("l"))).collect()
     assert [r[0] for r in got] == ["one two three four five", "o", "o", "o", "o"]
+
+
+def test_pieces_are_counted_in_the_row_and_in_small_batches(spark):
+    """Counts as a plain walk over code points gives them, also of equal and odd texts, without a row per character."""
+    texts = ["abcabcabc", "Ünï \U0001f642\U0001f642 x", "", None, "ab", "abcabcabc", "你好你好你"]
+    rows = [(i, t, "en" if i % 2 else None) for i, t in enumerate(texts)] + [(100 + i, "abc " * i, "fr") for i in range(200)]
+    other = spark.newSession()
+    df = other.createDataFrame(rows, "id long, t string, lang string")
+    want = {}
+    for _, t, lang in rows:
+        low = (t or "").lower()
+        for k in range(len(low) - 2):
+            if lang:
+                want[lang, low[k : k + 3]] = want.get((lang, low[k : k + 3]), 0) + 1
+    profiles = X.language_profiles(df, "t", "lang")
+    total = {lang: sum(n for (of, _), n in want.items() if of == lang) for lang in ("en", "fr")}
+    got = {(r["profile_lang"], r["gram"]): round((math.exp(r["weight"]) - 1) * total[r["profile_lang"]] / 1e6) for r in profiles.collect()}
+    assert got == want
+    assert int(other.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 1000
+    plan = X.language_by_join(df, ["id"], "t", profiles)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_audit_sends_small_batches_to_python(spark):
+    other = spark.newSession()
+    texts = other.createDataFrame([(1, "one two three four five six seven")], "id long, t string")
+    needles = other.createDataFrame([("two three four five six",)], "c string")
+    assert X.leakage_audit(texts, "id", "t", needles, "c").count() == 1
+    assert int(other.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 1000
