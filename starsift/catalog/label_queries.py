@@ -11,6 +11,7 @@ from starsift.catalog.tables import PAIRS, REST_SPLIT, SL, TECH_SPLIT, Tables
 from starsift.operators import labels as L
 from starsift.operators.splits import sample_rows, splits_overlap, stratified_split
 from starsift.plans import jobs
+from starsift.session import cut_lineage
 from starsift.sources.readers import required_columns
 
 BASE = ctes(SL, PAIRS)
@@ -19,7 +20,8 @@ FULL = ctes(SL, PAIRS, TECH_SPLIT, REST_SPLIT)
 
 
 def _parsed(t: Tables):
-    return L.with_pairs(t.sentences)
+    """Sentences with their pairs, stored: every later step would parse them again, for each class even."""
+    return cut_lineage(L.with_pairs(t.sentences))
 
 
 def _technical(t: Tables):
@@ -27,7 +29,8 @@ def _technical(t: Tables):
 
 
 def _split(t: Tables):
-    return L.split_technical(_technical(t))
+    """Technical rows with their split, stored once for the vocabulary, the counts and the rows."""
+    return cut_lineage(L.split_technical(_technical(t)))
 
 
 def _train(t: Tables):

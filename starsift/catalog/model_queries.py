@@ -458,7 +458,7 @@ def _held_out(frames) -> DataFrame:
 
 def _sentiment(t: Tables, frames):
     """The sentiment model fitted on the triples of the training split, and all triples."""
-    triples = L.sentiment_triples(L.with_pairs(t.sentences))
+    triples = cut_lineage(L.sentiment_triples(L.with_pairs(t.sentences)))
     seen = cut_lineage(triples.join(_held_out(frames), "row_id", "left_anti"))
     return M.train_sentiment_model(seen, L.class_weights(seen)), triples
 

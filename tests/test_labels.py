@@ -149,3 +149,12 @@ def test_domain_texts(spark):
     out = [r[0] for r in jobs.domain_texts(pool, held, train, 20).collect()]
     assert len(out) == 22 and out.count("t") == 2 and not {"s1", "s2"} & set(out)
     assert jobs.domain_texts(pool, held, train, 1000).count() == 50
+
+
+def test_pairs_are_parsed_once(spark, sf_dir):
+    """No plan that follows the stored pairs parses them again."""
+    from starsift.catalog import QUERIES
+
+    for name in ("l05_multi_hot", "l06_rare_classes", "l07_oversample_rare", "l10_positive_weights", "e38_simulated_counts"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "try_cast" not in plan.lower() and "RLIKE" not in plan and "target_sentiment" not in plan.split("LogicalRDD")[0]
