@@ -342,3 +342,12 @@ def test_title_steps_do_not_follow_the_rarity_of_terms(spark, monkeypatch):
     assert max(abs(seen[-1][1])) < 1e-5
     one_class = M.train_title_classifier(df.where("label = 1"), min_docs=2)
     assert one_class.intercept == float("inf") and {r["coefficient"] for r in one_class.terms.collect()} == {0.0}
+
+
+def test_title_term_rows_read_the_texts_once(spark):
+    """Words are found once; what follows starts from the stored counts, and rows that share a key count together."""
+    df = spark.createDataFrame([(i // 2, "red laptop case " + "red " * (i % 3)) for i in range(20)], "id long, title string")
+    out = M.title_term_weights(df, "id", "title")
+    assert "sort_array" not in out._jdf.queryExecution().optimizedPlan().toString()
+    counts = {(r["id"], r["term"]): r["count"] for r in out.collect()}
+    assert counts[0, "laptop"] == 2 and counts[0, "red"] == 3 and len({i for i, _ in counts}) == 10
