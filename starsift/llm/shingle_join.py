@@ -28,6 +28,8 @@ SET_ROWS, SET_BYTES = 1_000, 1 << 20
 BLOCK = 128
 #: Times that sets are verified against a drawn set of each open key before all its blocks meet.
 ROUNDS = 2
+#: Smallest open keys that go with a set, so that a pair is not given again for each key it shares.
+FIRST_KEYS = 16
 #: Shingles of the sets in a block, about, and columns of a matrix product, where links are counted.
 BLOCK_SHINGLES, COLUMNS = 1 << 18, 4096
 #: Parts beyond the least number, as a share of H: they let parts of few shingles go unused.
@@ -297,15 +299,19 @@ def _open_members(members: DataFrame, found: DataFrame, copies: DataFrame) -> Da
     return stored(named.join(stored(several.select("key")), "key", "left_semi").distinct())
 
 
-def _tile_pairs(members: DataFrame, bits: DataFrame, how: Likeness) -> DataFrame:
-    """Pairs of sets of one key in different components whose bitmaps allow a link.
+def _met_pairs(members: DataFrame, bits: DataFrame, how: Likeness) -> DataFrame:
+    """Pairs of sets of one key in different components whose bitmaps allow a link; few come more than once.
 
     Rows (key, doc, label), and (doc, n, bits) of the sets. Sets of a key that fit one block meet in it; those of other
-    keys are dealt into blocks, and an equal join on the key brings every two blocks together once.
+    keys are dealt into blocks, and an equal join on the key brings every two blocks together once. Alike sets share
+    many keys. Each set brings its smallest ones, and a pair that shares a smaller key among those is left to that key:
+    the smallest key two sets share always gives them, so none is lost.
     """
+    first = members.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_KEYS).alias("first"))
+    bits = stored(bits.join(first, "doc"))
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     hot = stored(counts.filter(F.col("members") > BLOCK))
-    sets = F.collect_list(F.struct("doc", "label", "n", "bits")).alias("sets")
+    sets = F.collect_list(F.struct("doc", "label", "n", "bits", "first")).alias("sets")
     small = members.join(hot, "key", "left_anti").join(bits, "doc").groupBy("key").agg(sets)
     block = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / BLOCK))
     dealt = members.join(hot, "key").join(bits, "doc").groupBy("key", block.alias("block"))
@@ -319,27 +325,29 @@ def _tile_pairs(members: DataFrame, bits: DataFrame, how: Likeness) -> DataFrame
             found_a, found_b = [], []
             for at in range(0, batch.num_rows, 8):
                 for row in batch.slice(at, 8).to_pylist():
-                    for a, b in alike(row["sets"], row["sets_2"] or row["sets"], row["same"]):
+                    for a, b in alike(row["key"], row["sets"], row["sets_2"] or row["sets"], row["same"]):
                         found_a.append(min(a, b))
                         found_b.append(max(a, b))
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
-    def alike(one: list[dict], two: list[dict], same: bool):
+    def alike(key: int, one: list[dict], two: list[dict], same: bool):
         words = min(len(s["bits"]) for s in one + two) // 8
         matrix = [np.array([folded(np.frombuffer(s["bits"], np.uint64), words) for s in part]) for part in (one, two)]
         n, label, doc = (([np.array([s[c] for s in part]) for part in (one, two)]) for c in ("n", "label", "doc"))
+        # the group's own key is none of the smaller ones, so it fills up short lists
+        first = np.array([(s["first"] + [key] * FIRST_KEYS)[:FIRST_KEYS] for s in two], np.int64)
         for i in range(len(one)):
             ahead = (label[1] != label[0][i]) & (doc[1] > doc[0][i] if same else doc[1] != doc[0][i])
             only_a = np.bitwise_count(matrix[0][i] & ~matrix[1]).sum(axis=1).astype(np.int64)
             only_b = np.bitwise_count(matrix[1] & ~matrix[0][i]).sum(axis=1).astype(np.int64)
             common = np.minimum(n[0][i] - only_a, n[1] - only_b)
-            for j in np.flatnonzero(ahead & how.linked(common, n[0][i], n[1])):
+            found = np.flatnonzero(ahead & how.linked(common, n[0][i], n[1]))
+            for j in found[~np.isin(first[found], [k for k in one[i]["first"] if k < key]).any(axis=1)]:
                 yield int(doc[0][i]), int(doc[1][j])
 
     same = (F.col("block") == F.col("block_2")).alias("same")
-    alone = small.select("sets", F.lit(None).cast(dict(small.dtypes)["sets"]).alias("sets_2"), F.lit(True).alias("same"))
-    found = alone.mapInArrow(run, "a long, b long").union(pairs.select("sets", "sets_2", same).mapInArrow(run, "a long, b long"))
-    return found.distinct()
+    alone = small.select("key", "sets", F.lit(None).cast(dict(small.dtypes)["sets"]).alias("sets_2"), F.lit(True).alias("same"))
+    return alone.mapInArrow(run, "a long, b long").union(pairs.select("key", "sets", "sets_2", same).mapInArrow(run, "a long, b long"))
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -486,7 +494,7 @@ def linked_groups(
         found = components(links)
         left = _open_members(left.select("key", "doc"), found, copies)
     # all pairs of different components in the keys that are left
-    more = stored(_verified(stored(_tile_pairs(left, bits, how)), rows, bits, how))
+    more = stored(_verified(stored(_met_pairs(left, bits, how).distinct()), rows, bits, how))
     if not more.isEmpty():
         found = components(links.union(more))
 

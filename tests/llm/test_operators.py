@@ -151,6 +151,24 @@ def test_shingle_join_repeated_rows_and_null_ids(doubled, docs):
     assert all(r.component_id == (once[r.doc_id].component_id if r.doc_id is not None else None) for r in got)
 
 
+def test_shingle_join_gives_a_pair_at_one_key(spark, monkeypatch):
+    """Alike sets share many keys; their pair is given at the smallest, however the blocks of a key meet."""
+    monkeypatch.setattr(shingle_join, "BLOCK", 8)
+    keys = {d: {k for k in range(-20, 20) if (d * 7 + k) % 3} | ({100} if d % 2 else set()) for d in range(40)}
+    keys[40] = {100}
+    label = {d: d // 2 for d in keys}
+    members = spark.createDataFrame([(k, d, label[d]) for d, ks in keys.items() for k in ks], "key long, doc long, label long")
+    one = bitmap(np.arange(30, dtype=np.uint64)).tobytes()
+    bits = spark.createDataFrame([(d, 30, bytearray(one)) for d in keys], "doc long, n long, bits binary")
+    met = [(r.a, r.b) for r in shingle_join._met_pairs(members, bits, Likeness()).collect()]
+    assert set(met) == {(a, b) for a in keys for b in keys if a < b and label[a] != label[b] and keys[a] & keys[b]}
+    assert len(met) == len(set(met))
+    # with fewer keys beside a set, pairs may come again but none is lost
+    monkeypatch.setattr(shingle_join, "FIRST_KEYS", 2)
+    again = [(r.a, r.b) for r in shingle_join._met_pairs(members, bits, Likeness()).collect()]
+    assert set(again) == set(met)
+
+
 def test_shingle_join_counts_every_link(spark, monkeypatch):
     rng = random.Random(5)
     base = [f"w{i}" for i in range(90)]
