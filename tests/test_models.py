@@ -320,6 +320,40 @@ def test_aspect_and_sentiment_models(spark):
     assert not got[3]["is_related"] and got[3]["sentiment_aspects"] == []
 
 
+def _small_models(spark):
+    rows = [(f"battery lasts {'badly' if i % 2 else 'well'} {i}", 1, 1, "battery", "-1" if i % 2 else "1") for i in range(40)]
+    rows += [("general words only", 1, 0, None, None), ("something else entirely", 0, 0, None, None)] * 20
+    rows += [("screen looks well", 0, 1, "screen;battery", "1;-1")] * 3
+    raw = spark.createDataFrame(rows, "sentence_for_model string, is_related int, is_technical int, target_aspect string, target_sentiment string")
+    frames = training_frames(raw)
+    aspects = M.train_aspect_model(frames.train, ["battery"], {}, max_iter=5)
+    triples = frames.triples()
+    return raw, frames, aspects, M.train_sentiment_model(triples, L.class_weights(triples), max_iter=5)
+
+
+def test_triples_come_from_the_stored_split(spark):
+    raw, frames, _, _ = _small_models(spark)
+    plain = L.sentiment_triples(L.with_pairs(labelled_sentences(raw)))
+    got = frames.triples()
+    assert sorted(map(tuple, got.drop("split").collect())) == sorted(map(tuple, plain.collect()))
+    split = {r["row_id"]: name for name in ("val", "test") for r in getattr(frames, name).select("row_id").collect()}
+    rows = got.collect()
+    assert {r["split"] for r in rows} == {"train", "val", "test"}
+    assert all(split.get(r["row_id"], "train") == r["split"] for r in rows)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in plan and "target_sentiment, ;" not in plan
+
+
+def test_heads_run_once_for_each_scored_text(spark):
+    """No head, and no cut of texts into terms for the heads, stands in what reads the gated texts."""
+    raw, _, aspects, sentiment = _small_models(spark)
+    texts = labelled_sentences(raw).select(F.col("row_id").alias("id"), F.col("sentence_for_model").alias("text"))
+    out = M.score_texts(texts, ["id"], "text", aspects, sentiment, M.Thresholds(0.5, 0.5, {"battery": 0.5}, 0.5))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_related" not in plan and "sentence_for_model" not in plan
+    assert out.count() == texts.count()
+
+
 def test_title_steps_do_not_follow_the_rarity_of_terms(spark, monkeypatch):
     """Terms of very different frequency: few passes over the titles, and the least value to many places."""
     names = ["".join(chr(97 + d) for d in (i // 26, i % 26)) for i in range(200)]
