@@ -354,6 +354,14 @@ def test_heads_run_once_for_each_scored_text(spark):
     assert out.count() == texts.count()
 
 
+def test_cuts_are_tuned_on_stored_probabilities(spark):
+    _, frames, aspects, sentiment = _small_models(spark)
+    triples = frames.triples().where("split = 'val'").drop("split")
+    tuned = tuned_thresholds(frames.val, triples, aspects, sentiment)
+    assert "UDF" not in tuned._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["head"], r["class"]) for r in tuned.collect()} == {("h1", ""), ("h2", ""), ("h3", "battery"), ("m2", "")}
+
+
 def test_title_steps_do_not_follow_the_rarity_of_terms(spark, monkeypatch):
     """Terms of very different frequency: few passes over the titles, and the least value to many places."""
     names = ["".join(chr(97 + d) for d in (i // 26, i % 26)) for i in range(200)]
