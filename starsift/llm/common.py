@@ -44,6 +44,7 @@ def worker_memo(key: tuple, build):
     store = sys.modules.setdefault("starsift_worker_store", types.ModuleType("starsift_worker_store")).__dict__
     if store.get("key") != key:
         store.pop("memo", None)
+        pa.default_memory_pool().release_unused()  # else freed batches of the earlier operator stay with the worker
         store["memo"] = build()
         store["key"] = key
     return store["memo"]

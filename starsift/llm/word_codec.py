@@ -21,8 +21,10 @@ from starsift.llm.common import id_and_bytes, text_chunks, worker_memo
 
 #: Words in the transducer; the rest are merged when met.
 LEXICON_WORDS = 65_536
-#: Runs and words a worker remembers, and runs it counts at once; a full memo is emptied, which costs time only.
-MEMO, COUNTED = 250_000, 200_000
+#: Runs and words beside them that a worker remembers; a full memo is emptied, which costs time only.
+MEMO, OTHERS = 150_000, 50_000
+#: Runs a worker counts at once.
+COUNTED = 200_000
 
 
 @dataclass
@@ -206,7 +208,7 @@ class Codec(dict):
     """A memo from a run of text without blanks to its ids as 32-bit integers.
 
     The mapped transducer is read out once per worker into the words that are known from the start; other words are
-    merged and remembered for a while.
+    merged and remembered for a while, by their run if it has no other word.
     """
 
     def __init__(self, tokenizer_path: str, lexicon: bytes):
@@ -222,14 +224,20 @@ class Codec(dict):
 
     def word_ids(self, word: bytes) -> bytes:
         packed = self.frequent.get(word) or self.others.get(word)
+        if packed is None and word.isalpha():  # of bytes: ASCII letters, in lower case, so the word is a run as well
+            packed = self.get(word)
         if packed is None:
-            if len(self.others) >= MEMO:
+            if len(self.others) >= OTHERS:
                 self.others.clear()
             self.others[word] = packed = array("i", self.merges.ids(word)).tobytes()
         return packed
 
     def __missing__(self, run: bytes) -> bytes:
-        ids = b"".join(map(self.word_ids, words_of_run(run)))
+        words = words_of_run(run)
+        if len(words) == 1:
+            ids = self.frequent.get(words[0]) or self.others.get(words[0]) or array("i", self.merges.ids(words[0])).tobytes()
+        else:
+            ids = b"".join(map(self.word_ids, words))
         if len(self) >= MEMO:
             self.clear()
         self[run] = ids
@@ -262,7 +270,8 @@ def frequent_words(
     def run(batches):
         def flush(runs):
             words: Counter = Counter()
-            for r, n in runs.items():
+            while runs:  # each run goes as its words come, so the two counters do not add up
+                r, n = runs.popitem()
                 for w in words_of_run(r):
                     words[w] += n
             names = list(words)
@@ -280,7 +289,7 @@ def frequent_words(
                     runs.update(t.split())
             if len(runs) >= COUNTED:
                 yield from flush(runs)
-                runs = Counter()
+                runs = Counter()  # an emptied one keeps its table
         yield from flush(runs)
 
     totals = id_and_bytes(docs, id_col, text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -28,7 +28,7 @@ from starsift.llm.shingle_join import Likeness, bitmap, linked_groups, most_comm
 from starsift.llm.token_counts import count_tokens, with_limit
 from starsift.llm.token_store import EliasFano, read_documents, store_tokens
 from starsift.llm.tree_search import nearest
-from starsift.llm.word_codec import Lexicon, MappedLexicon, digests, encode_decode, frequent_words
+from starsift.llm.word_codec import Codec, Lexicon, MappedLexicon, build_lexicon, digests, encode_decode, frequent_words
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, n int, doc long, place int"
@@ -387,6 +387,24 @@ def test_frequent_words_are_counted_in_all_rows(spark):
     assert frequent_words(rows, 2) == ["odd", "even"]
 
 
+def test_codec_holds_a_word_once(monkeypatch):
+    from starsift.llm import word_codec
+
+    library = Tokenizer.from_file(WORD)
+    words = [f"{a}{b}{c}ñ" for a in "abcdefgh" for b in "ijklmnop" for c in ("qu", "Ré")]
+    text = " ".join([*words, *[w[:-1] for w in words], *[f"({w}," for w in words[:9]], "Odd,ñ", "odd", "ÉTÉ,", "été"])
+    ids = library.encode(text, add_special_tokens=False).ids
+    codec = Codec(WORD, build_lexicon(["odd"], WORD))
+    assert np.frombuffer(codec.encode(text.encode()), np.int32).tolist() == ids
+    held = {w for run in codec for w in word_codec.words_of_run(run)}
+    assert len(codec.others) <= 9 * 3 + 5 < len(held)
+    monkeypatch.setattr(word_codec, "MEMO", 5)
+    monkeypatch.setattr(word_codec, "OTHERS", 3, raising=False)
+    codec = Codec(WORD, build_lexicon(["odd"], WORD))
+    assert np.frombuffer(codec.encode(text.encode()), np.int32).tolist() == ids
+    assert len(codec) <= 5 and len(codec.others) <= 3
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): [k, k + 1] for k, w in enumerate(["tap", "taps", "top", "tops", "é", "", "stop", "stops"])}
     lexicon = Lexicon.build(words)
