@@ -17,13 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsift.llm.common import WordHashes, hashed_words, id_and_bytes, mixed, release, stored, text_chunks, with_ids, worker_memo, written
+from starsift.llm.common import id_and_bytes, mixed, release, stored, text_chunks, with_ids, word_hash, worker_memo, written
 from starsift.llm.components import components
 
 #: Rows and bytes of text a task compares with itself before anything is shuffled.
 PIECE_ROWS, PIECE_BYTES = 4_000, 3 << 20
 #: Rows and bytes of text whose sets are made at once where nothing is compared.
 SET_ROWS, SET_BYTES = 1_000, 1 << 20
+#: Bytes that separate words, and the bytes of an eight-byte number that belong to a word of 0 to 8 bytes.
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+INSIDE = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Longest word that is hashed eight bytes at a time with all others.
+LONG_WORD = 64
 #: Sets in a block of a tile.
 BLOCK = 128
 #: Times that sets are verified against a drawn set of each open key before all its blocks meet.
@@ -72,18 +77,43 @@ class Likeness:
         return 100 * common >= self.percent * (a + b - common)
 
 
-def shingle_sets(texts: list[bytes | None], how: Likeness, memo: WordHashes) -> list[np.ndarray]:
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, A-Z in lower case, and where each text begins (with the end of the last).
+
+    Words are taken eight bytes at a time, all at once, so new words cost no more than known ones.
+    """
+    texts = [t or b"" for t in texts]
+    joined = b" ".join([*texts, b" " * 8]).lower()
+    blank = BLANK[np.frombuffer(joined, np.uint8)]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edges = np.append(0, edges)
+    starts, size = edges[::2], edges[1::2] - edges[::2]
+    begins = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    eight = np.ndarray(len(joined) - 7, "<u8", joined, 0, 1)
+    flat = mixed(eight[starts] & INSIDE[np.minimum(size, 8)] ^ mixed(size.astype(np.uint64)))
+    longer = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+    for at in range(8, LONG_WORD, 8):
+        more = eight[starts[longer] + at] & INSIDE[np.minimum(size[longer] - at, 8)]
+        flat[longer] = mixed(flat[longer] * np.uint64(0xC2B2AE3D27D4EB4F) + more)
+        longer = longer[size[longer] > at + 8]
+    for i in np.flatnonzero(size > LONG_WORD):
+        flat[i] = word_hash(joined[starts[i] : starts[i] + size[i]])
+    return flat, begins
+
+
+def shingle_sets(texts: list[bytes | None], how: Likeness) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer words is one shingle, one without words is empty."""
-    lists = [t.lower().split() if t else [] for t in texts]
-    flat, begins = hashed_words(lists, memo)
+    flat, begins = word_hashes(texts)
     n = how.words
     rolled = np.zeros(max(0, len(flat) - n + 1), np.uint64)
     for i in range(n):
         rolled = mixed(rolled * np.uint64(0x9E3779B97F4A7C15) + flat[i : i + len(rolled)])
     out = []
-    for a, b in zip(begins[:-1], begins[1:], strict=True):
+    for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
         if b - a >= n:
-            out.append(np.unique(rolled[a : b - n + 1]))
+            items = np.sort(rolled[a : b - n + 1])
+            out.append(items[np.append(True, items[1:] != items[:-1])])
         elif b > a:
             short = np.uint64(b - a)
             for w in flat[a:b]:
@@ -96,9 +126,15 @@ def shingle_sets(texts: list[bytes | None], how: Likeness, memo: WordHashes) ->
 
 def set_digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit digests of each set."""
-    first = [mixed(s ^ np.uint64(0x243F6A8885A308D3)).sum(dtype=np.uint64) for s in sets]
-    second = [mixed(s ^ np.uint64(0x13198A2E03707344)).sum(dtype=np.uint64) for s in sets]
-    return np.array(first, np.uint64).view(np.int64), np.array(second, np.uint64).view(np.int64)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    some = np.flatnonzero(sizes)
+    out = np.zeros((2, len(sets)), np.uint64)
+    if len(some):
+        flat = np.concatenate(sets)
+        begins = (np.cumsum(sizes) - sizes)[some]
+        for digest, salt in zip(out, (0x243F6A8885A308D3, 0x13198A2E03707344), strict=True):
+            digest[some] = np.add.reduceat(mixed(flat ^ np.uint64(salt)), begins)
+    return out[0].view(np.int64), out[1].view(np.int64)
 
 
 def part_keys(sets: list[np.ndarray], how: Likeness) -> tuple[np.ndarray, np.ndarray]:
@@ -176,16 +212,18 @@ def most_common(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> int:
     return min(size_a - only_a, size_b - only_b)
 
 
-def _memo() -> WordHashes:
-    return worker_memo(("word hashes",), WordHashes)
+def _set_chunks(batches, how: Likeness, max_rows: int = SET_ROWS, max_bytes: int = SET_BYTES):
+    """(ids, sets) of the texts of a task in pieces of bounded rows and bytes."""
+    worker_memo(("shingles",), dict)  # lets go of what an earlier operator left in this worker
+    for ids, texts in text_chunks(batches, max_rows, max_bytes):
+        yield ids, shingle_sets(texts, how)
 
 
 def _set_table(rows: DataFrame, how: Likeness) -> DataFrame:
     """doc_id, n_shingles and the digests of the set."""
 
     def run(batches):
-        for ids, texts in text_chunks(batches, SET_ROWS, SET_BYTES):
-            sets = shingle_sets(texts, how, _memo())
+        for ids, sets in _set_chunks(batches, how):
             d1, d2 = set_digests(sets)
             sizes = np.array([len(s) for s in sets], np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -203,12 +241,11 @@ def _meetings(rows: DataFrame, how: Likeness) -> DataFrame:
     """
 
     def run(batches):
-        for ids, texts in text_chunks(batches, PIECE_ROWS, PIECE_BYTES):
-            known = [i for i, d in enumerate(ids) if d is not None]
+        for ids, sets in _set_chunks(batches, how, PIECE_ROWS, PIECE_BYTES):
+            known = np.array([i for i, d in enumerate(ids) if d is not None], np.int64)
             doc = np.array([ids[i] for i in known], np.int64)
-            sets = shingle_sets([texts[i] for i in known], how, _memo())
             order = np.argsort(doc, kind="stable")
-            doc, sets = doc[order], [sets[i] for i in order]
+            doc, sets = doc[order], [sets[i] for i in known[order]]
             d1, d2 = set_digests(sets)
             seen: set = set()
             fresh = []
@@ -239,8 +276,7 @@ def _per_set(rows: DataFrame, ids: DataFrame, how: Likeness, column: str) -> Dat
     form = {"bits": bitmap, "items": lambda s: s}[column]
 
     def run(batches):
-        for doc_ids, texts in text_chunks(batches, SET_ROWS, SET_BYTES):
-            sets = shingle_sets(texts, how, _memo())
+        for doc_ids, sets in _set_chunks(batches, how):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([form(s).tobytes() for s in sets], pa.binary())],
                 names=["doc", "n", column],
@@ -396,8 +432,8 @@ def _link_counts(rows: DataFrame, classes: DataFrame, found: DataFrame, how: Lik
     plan = stored(plan.select("doc", "ids", "component", F.expr(meets).alias("meets")).filter("size(meets) > 0"))
 
     def sets(batches):
-        for doc_ids, texts in text_chunks(batches, SET_ROWS, SET_BYTES):
-            items = [s.tobytes() for s in shingle_sets(texts, how, _memo())]
+        for doc_ids, made in _set_chunks(batches, how):
+            items = [s.tobytes() for s in made]
             for at in range(0, len(items), BLOCK):
                 cut = slice(at, at + BLOCK)
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids[cut], pa.int64()), pa.array(items[cut], pa.binary())], names=["doc", "items"])

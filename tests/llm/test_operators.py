@@ -14,8 +14,8 @@ from compare import compare, connect
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from starsift.llm import common, shingle_join
 from starsift.llm import queries as Q
-from starsift.llm import shingle_join
 from starsift.llm.bpe import Vocabulary, merge_pairs, merge_short
 from starsift.llm.components import components
 from starsift.llm.content_sort import exact_groups, first_of_groups, range_of, splitters_of
@@ -208,6 +208,41 @@ def test_parts_lose_no_link():
                 assert set(key[owner == 0]) & set(key[owner == 1])
 
 
+def test_shingle_words_are_hashed_together(monkeypatch):
+    """New words cost no call each; equal words, and only those, have equal hashes, wherever they stand."""
+    rng = random.Random(7)
+    calls = []
+    for module in (shingle_join, common):
+        plain = common.word_hash
+        monkeypatch.setattr(module, "word_hash", lambda word: calls.append(word) or plain(word))
+    letters = [bytes([c]) for c in range(256) if c not in b" \t\n\x0b\x0c\r"]
+    words = [b"".join(rng.choices(letters, k=k)) for k in range(1, 65) for _ in range(40)]
+    words += [b"a" * k for k in range(1, 65)] + [b"a" * k + b"\0" for k in range(64)] + [b"\0" * k for k in range(1, 65)]
+    texts = [b"", None, b" \t\n\x0b\x0c\r ", b"one", b" Two\tWORDS\n", *(b" ".join(rng.choices(words, k=200)) for _ in range(60)), b" ".join(words), b"end "]
+    one = shingle_join.shingle_sets(texts, Likeness(1, 90))
+    assert not calls
+    lists = [(t or b"").lower().split() for t in texts]
+    flat, begins = shingle_join.word_hashes(texts)
+    assert begins.tolist() == np.cumsum([0, *map(len, lists)]).tolist()
+    hashes = dict(zip([w for ws in lists for w in ws], flat.tolist(), strict=True))
+    assert flat.tolist() == [hashes[w] for ws in lists for w in ws] and len(set(hashes.values())) == len(hashes)
+    assert [len(s) for s in one] == [len(set(ws)) for ws in lists] and all((s[1:] > s[:-1]).all() for s in one)
+    # longer words, alone and beside others
+    long = [b"b" * k for k in range(60, 200)]
+    alone = [shingle_join.word_hashes([w])[0].tolist() for w in long]
+    assert alone == [[h] for h in shingle_join.word_hashes([b" ".join(long)])[0].tolist()] and len({h for h, in alone}) == len(long)
+    assert [len(a) for a in shingle_join.word_hashes([])] == [0, 1]
+
+
+def test_set_digests_follow_the_set():
+    sets = [np.array(s, np.uint64) for s in ([], [1, 5, 9], [7], [], [1, 5, 9], [1, 5], [])]
+    first, second = (d.tolist() for d in shingle_join.set_digests(sets))
+    for d in (first, second):
+        assert d[0] == d[3] == d[6] == 0 and d[1] == d[4] and len(set(d)) == 4
+    alone = [shingle_join.set_digests([s]) for s in sets]
+    assert [int(a[0]) for a, _ in alone] == first and [int(b[0]) for _, b in alone] == second
+
+
 def test_components_of_a_path(spark):
     n = 40
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (7, 7)], "a long, b long")
