@@ -1,6 +1,9 @@
 """Metrics, threshold tuning, the gate and trained models."""
 
+import pickle
+
 import pytest
+from pyspark import RDD, SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
@@ -386,6 +389,33 @@ def test_title_steps_do_not_follow_the_rarity_of_terms(spark, monkeypatch):
     assert one_class.intercept == float("inf") and {r["coefficient"] for r in one_class.terms.collect()} == {0.0}
 
 
+def test_title_coefficients_stay_off_the_driver(spark, monkeypatch):
+    """What the driver sends and gets in a fit does not follow the vocabulary; slices and groups give the same model."""
+    names = ["".join(chr(97 + d) for d in (i // 676, i // 26 % 26, i % 26)) for i in range(3000)]
+    pairs = [f"{a} {names[i * 7 % 3000]}" for i, a in enumerate(names)]
+    rows = [(" ".join(pairs[(i * 7 + j * j * 31) % 3000] for j in range(8)), int(i * i % 11 < 5)) for i in range(2000)]
+    df = cut_lineage(spark.createDataFrame(rows, "title string, label int").repartition(6))
+    whole = M.train_title_classifier(df, min_docs=2, max_iter=12)
+    sizes = []
+
+    def sized(value):
+        sizes.append(len(pickle.dumps(value)))
+        return value
+
+    collect, broadcast = RDD.collect, SparkContext.broadcast
+    monkeypatch.setattr(RDD, "collect", lambda self: sized(collect(self)))
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: broadcast(self, sized(value)))
+    for name, value in (("SLICE_TERMS", 4000), ("BLOCK_TERMS", 2000), ("GROUP_TITLES", 100)):
+        monkeypatch.setattr(M, name, value, raising=False)
+    cut = M.train_title_classifier(df, min_docs=2, max_iter=12)
+    terms = whole.terms.count()
+    assert terms > 5000 and sizes and max(sizes) < 4 * terms
+    one, other = ({r["term"]: r["coefficient"] for r in m.terms.collect()} for m in (whole, cut))
+    assert set(one) == set(other) and len({round(c, 6) for c in one.values()}) > 100
+    assert [other[t] for t in one] == pytest.approx(list(one.values()), abs=1e-7)
+    assert cut.intercept == pytest.approx(whole.intercept, abs=1e-7)
+
+
 def test_title_term_rows_read_the_texts_once(spark):
     """Words are found once; what follows starts from the stored counts, and rows that share a key count together."""
     df = spark.createDataFrame([(i // 2, "red laptop case " + "red " * (i % 3)) for i in range(20)], "id long, title string")
